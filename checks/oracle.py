@@ -136,7 +136,8 @@ _PARTS: dict[str, str] = {
     "inv": f"""
         SELECT {_key('w + 4')} AS inv_date_sk, p AS inv_item_sk, s AS inv_warehouse_sk,
                CASE WHEN (p * 7 + s * 13) % 17 = 0 THEN NULL
-                    ELSE (p * 7 + s * 13 + {_key('w')}) % 60 END AS inv_quantity_on_hand
+                    ELSE CAST((p * 7 + s * 13 + {_key('w')}) % 60 AS DECIMAL(10,0)) END
+                    AS inv_quantity_on_hand
         FROM (SELECT DISTINCT l_partkey AS p, l_suppkey AS s, {_sunday('d')} AS w FROM base)""",
     "combined": _stock_and_sales_lines("cs") + " UNION ALL " + _stock_and_sales_lines("ws"),
     "daily": """
@@ -380,7 +381,8 @@ _STATEMENTS: dict[str, str] = {
         SELECT warehouse_sk, item_sk, sold_date_sk, {_doubles(*_MEASURES[:3])}, date, week_start_date,
                week_end_date, yr_wk_num
         FROM daily_dated""",
-    "inventory_with_date": "SELECT * FROM inv_dated",
+    "inventory_with_date": f"""
+        SELECT date_sk, item_sk, warehouse_sk, {_doubles('quantity_on_hand')}, date, yr_wk_num FROM inv_dated""",
     "fact_sales_inv_weekly": _weekly("weekly"),
     "fact_sales_inv_weekly_preagg": _weekly("weekly_once"),
     "sales_item_weekly": f"""

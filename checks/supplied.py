@@ -153,7 +153,9 @@ class SuppliedTables:
                 day_key(F.date_add("w", 4)).alias("inv_date_sk"),
                 F.col("l_partkey").alias("inv_item_sk"),
                 F.col("l_suppkey").alias("inv_warehouse_sk"),
-                _unless(mix % 17 == 0, (mix + day_key(F.col("w"))) % 60).alias("inv_quantity_on_hand"),
+                _unless(mix % 17 == 0, (mix + day_key(F.col("w"))) % 60)
+                .cast("decimal(10,0)")
+                .alias("inv_quantity_on_hand"),
             ),
         )
 
