@@ -6,27 +6,20 @@ part C. Money and quantities are decimals so that sums do not depend on order.
 
 from __future__ import annotations
 
-from datetime import date
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from martloom.functions.weeks import week_start
 from martloom.schemas import RAW_SCHEMAS, is_key
 
-CALENDAR_START = date(1995, 1, 1)
-_JULIAN_DAY_OF_EPOCH = 2440588
-_WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
+def _day_key(day: str) -> str:
+    """Julian day number of a date."""
+    return f"CAST(unix_date({day}) + 2440588 AS BIGINT)"
 
-def day_key(day: Column) -> Column:
-    return (F.unix_date(day) + _JULIAN_DAY_OF_EPOCH).cast("long")
 
-
-def _unless(gap: Column, value: Column) -> Column:
-    """``value``, but null in the injected gaps."""
-    return F.when(~gap, value)
+def _null_if(gap: str, value: str) -> str:
+    return f"IF({gap}, NULL, {value})"
 
 
 class SuppliedTables:
@@ -35,75 +28,70 @@ class SuppliedTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def _conform(self, name: str, df: DataFrame) -> DataFrame:
-        """Give ``df`` the full layout of a raw table; unmapped columns are typed nulls."""
-        mapped = set(df.columns)
-        columns = []
+    def _conform(self, name: str, df: DataFrame, prefix: str, columns: dict[str, str]) -> DataFrame:
+        """Give ``df`` the full layout of a raw table; columns without a formula are typed nulls."""
+        formulas = {f"{prefix}_{column}": formula for column, formula in columns.items()}
+        selected = []
         for field in RAW_SCHEMAS[name].fields:
-            value = F.col(field.name) if field.name in mapped else F.lit(None).cast(field.dataType)
-            columns.append((value.cast("long") if is_key(field.name) else value).alias(field.name))
-        return df.select(*columns)
+            value = formulas.get(field.name, f"CAST(NULL AS {field.dataType.simpleString()})")
+            selected.append(f"{f'CAST({value} AS BIGINT)' if is_key(field.name) else value} AS {field.name}")
+        return df.selectExpr(*selected)
 
     @cached_property
     def _lines(self) -> DataFrame:
         """Line items with exact price and calendar day."""
-        return self.table("lineitem").select(
+        return self.table("lineitem").selectExpr(
             "l_orderkey",
             "l_partkey",
             "l_suppkey",
             "l_linenumber",
             "l_quantity",
             "l_returnflag",
-            F.col("l_discount").cast("decimal(4,2)").alias("discount"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("ext"),
-            F.col("l_shipdate").cast("date").alias("d"),
+            "CAST(l_discount AS DECIMAL(4,2)) AS discount",
+            "CAST(l_extendedprice AS DECIMAL(12,2)) AS ext",
+            "CAST(l_shipdate AS DATE) AS d",
         )
 
     @cached_property
     def _prices(self) -> DataFrame:
-        return self.table("part").select(
-            "p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("price")
+        return self.table("part").selectExpr(
+            "p_partkey AS l_partkey", "CAST(p_retailprice AS DECIMAL(10,2)) AS price"
         )
 
-    def _channel_lines(self, remainder: int) -> DataFrame:
-        return self._lines.where(F.col("l_linenumber") % 3 == remainder)
-
     def _sales(self, name: str, prefix: str, remainder: int) -> DataFrame:
-        order, part = F.col("l_orderkey"), F.col("l_partkey")
-        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        orders = self.table("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
         lines = (
-            self._channel_lines(remainder)
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self._prices, F.col("l_partkey") == F.col("p_partkey"))
+            self._lines.where(f"l_linenumber % 3 = {remainder}")
+            .join(orders, "l_orderkey")
+            .join(self._prices, "l_partkey")
         )
         store = prefix == "ss"
-        site = _unless(part % 59 == 0, F.col("l_suppkey"))
-        customer = _unless(order % 53 == 0, F.col("o_custkey"))
-        quantity = F.when(order % 37 == 0, F.lit(None)).when(order % 41 == 0, F.lit(0)).otherwise(
-            F.col("l_quantity")
-        )
         columns = {
-            "sold_date_sk": _unless(order % 61 == 0, day_key(F.col("d"))),
-            "item_sk": part,
-            "store_sk" if store else "warehouse_sk": site,
-            "customer_sk" if store else "bill_customer_sk": customer,
-            "ticket_number" if store else "order_number": order,
-            "promo_sk": _unless(F.col("discount") == 0, (F.col("discount") * 100).cast("int")),
-            "quantity": quantity.cast("decimal(10,0)"),
-            "sales_price": F.col("price"),
-            "ext_wholesale_cost": F.col("ext") * F.lit("0.70").cast("decimal(4,2)"),
-            "net_profit": F.col("ext") * (F.lit("0.30").cast("decimal(4,2)") - 5 * F.col("discount")),
+            "sold_date_sk": _null_if("l_orderkey % 61 = 0", _day_key("d")),
+            "item_sk": "l_partkey",
+            "store_sk" if store else "warehouse_sk": _null_if("l_partkey % 59 = 0", "l_suppkey"),
+            "customer_sk" if store else "bill_customer_sk": _null_if("l_orderkey % 53 = 0", "o_custkey"),
+            "ticket_number" if store else "order_number": "l_orderkey",
+            "promo_sk": _null_if("discount = 0", "CAST(discount * 100 AS INT)"),
+            "quantity": "CASE WHEN l_orderkey % 37 = 0 THEN NULL WHEN l_orderkey % 41 = 0 THEN 0 "
+            "ELSE CAST(l_quantity AS DECIMAL(10,0)) END",
+            "sales_price": "price",
+            "ext_wholesale_cost": "ext * CAST(0.70 AS DECIMAL(4,2))",
+            "net_profit": "ext * (CAST(0.30 AS DECIMAL(4,2)) - 5 * discount)",
         }
         if not store:
-            columns["ship_date_sk"] = _unless(part % 7 == 0, day_key(F.date_add("d", 3)))
-        return self._conform(name, lines.select(*[v.alias(f"{prefix}_{k}") for k, v in columns.items()]))
+            columns["ship_date_sk"] = _null_if("l_partkey % 7 = 0", _day_key("date_add(d, 3)"))
+        return self._conform(name, lines, prefix, columns)
 
     @cached_property
     def catalog_sales(self) -> DataFrame:
@@ -118,22 +106,19 @@ class SuppliedTables:
         return self._sales("store_sales", "ss", 0)
 
     def _returns(self, name: str, prefix: str, amount: str, remainder: int) -> DataFrame:
-        lines = (
-            self._channel_lines(remainder)
-            .where(F.col("l_returnflag") == "R")
-            .join(self._prices, F.col("l_partkey") == F.col("p_partkey"))
+        lines = self._lines.where(f"l_linenumber % 3 = {remainder} AND l_returnflag = 'R'").join(
+            self._prices, "l_partkey"
         )
-        quantity = F.expr("CAST(l_quantity AS INT) DIV 2").cast("decimal(10,0)")
-        returned = F.date_add("d", (F.col("l_partkey") % 20).cast("int"))
+        half = "CAST(CAST(l_quantity AS INT) DIV 2 AS DECIMAL(10,0))"
         columns = {
-            "returned_date_sk": day_key(returned),
-            "item_sk": F.col("l_partkey"),
-            "order_number": F.col("l_orderkey"),
-            "return_quantity": quantity,
-            amount: quantity * F.col("price"),
-            "net_loss": F.col("ext") * F.lit("0.10").cast("decimal(4,2)"),
+            "returned_date_sk": _day_key("date_add(d, CAST(l_partkey % 20 AS INT))"),
+            "item_sk": "l_partkey",
+            "order_number": "l_orderkey",
+            "return_quantity": half,
+            amount: f"{half} * price",
+            "net_loss": "ext * CAST(0.10 AS DECIMAL(4,2))",
         }
-        return self._conform(name, lines.select(*[v.alias(f"{prefix}_{k}") for k, v in columns.items()]))
+        return self._conform(name, lines, prefix, columns)
 
     @cached_property
     def catalog_returns(self) -> DataFrame:
@@ -145,139 +130,108 @@ class SuppliedTables:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        weeks = self._lines.select("l_partkey", "l_suppkey", week_start(F.col("d")).alias("w")).distinct()
-        mix = F.col("l_partkey") * 7 + F.col("l_suppkey") * 13
-        return self._conform(
-            "inventory",
-            weeks.select(
-                day_key(F.date_add("w", 4)).alias("inv_date_sk"),
-                F.col("l_partkey").alias("inv_item_sk"),
-                F.col("l_suppkey").alias("inv_warehouse_sk"),
-                _unless(mix % 17 == 0, (mix + day_key(F.col("w"))) % 60)
-                .cast("decimal(10,0)")
-                .alias("inv_quantity_on_hand"),
-            ),
-        )
+        sunday = "next_day(date_sub(d, 7), 'Sunday') AS w"
+        weeks = self._lines.selectExpr("l_partkey AS p", "l_suppkey AS s", sunday).distinct()
+        mix = "(p * 7 + s * 13)"
+        on_hand = _null_if(f"{mix} % 17 = 0", f"({mix} + {_day_key('w')}) % 60")
+        columns = {
+            "date_sk": _day_key("date_add(w, 4)"),
+            "item_sk": "p",
+            "warehouse_sk": "s",
+            "quantity_on_hand": f"CAST({on_hand} AS DECIMAL(10,0))",
+        }
+        return self._conform("inventory", weeks, "inv", columns)
 
     @cached_property
     def date_dim(self) -> DataFrame:
-        day = F.col("day")
-        last = self._lines.agg(F.max("d").alias("last"))
-        days = last.select(F.explode(F.sequence(F.lit(CALENDAR_START), "last")).alias("day"))
-        names = F.array(*[F.lit(n) for n in _WEEKDAYS])
-        quarter = F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
-        return self._conform(
-            "date_dim",
-            days.select(
-                day_key(day).alias("d_date_sk"),
-                day.alias("d_date"),
-                F.year(day).alias("d_year"),
-                F.month(day).alias("d_moy"),
-                F.dayofmonth(day).alias("d_dom"),
-                F.quarter(day).alias("d_qoy"),
-                F.element_at(names, F.dayofweek(day)).alias("d_day_name"),
-                quarter.alias("d_quarter_name"),
-            ),
-        )
+        last = self._lines.selectExpr("max(d) AS last")
+        days = last.selectExpr("explode(sequence(DATE'1995-01-01', last)) AS day")
+        columns = {
+            "date_sk": _day_key("day"),
+            "date": "day",
+            "year": "year(day)",
+            "moy": "month(day)",
+            "dom": "day(day)",
+            "qoy": "quarter(day)",
+            "day_name": "date_format(day, 'EEEE')",
+            "quarter_name": "year(day) || 'Q' || quarter(day)",
+        }
+        return self._conform("date_dim", days, "d", columns)
 
     @cached_property
     def item(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self._conform(
-            "item",
-            self.table("part").select(
-                key.alias("i_item_sk"),
-                F.concat(F.lit("I"), key.cast("string")).alias("i_item_id"),
-                F.col("p_name").alias("i_product_name"),
-                F.col("p_brand").alias("i_brand"),
-                F.col("p_type").alias("i_class"),
-                F.col("p_size").cast("string").alias("i_size"),
-                F.col("p_retailprice").alias("i_current_price"),
-            ),
-        )
+        columns = {
+            "item_sk": "p_partkey",
+            "item_id": "'I' || p_partkey",
+            "product_name": "p_name",
+            "brand": "p_brand",
+            "class": "p_type",
+            "size": "CAST(p_size AS STRING)",
+            "current_price": "p_retailprice",
+        }
+        return self._conform("item", self.table("part"), "i", columns)
 
     @cached_property
     def _places(self) -> DataFrame:
-        return self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        ).select("n_nationkey", "n_name", "r_name")
+        nations = self.table("nation").withColumnRenamed("n_regionkey", "r_regionkey")
+        return nations.join(self.table("region"), "r_regionkey").select("n_nationkey", "n_name", "r_name")
 
     @cached_property
     def warehouse(self) -> DataFrame:
-        located = self.table("supplier").join(self._places, F.col("s_nationkey") == F.col("n_nationkey"))
-        return self._conform(
-            "warehouse",
-            located.select(
-                F.col("s_suppkey").alias("w_warehouse_sk"),
-                F.col("s_name").alias("w_warehouse_name"),
-                F.col("n_name").alias("w_city"),
-                F.col("r_name").alias("w_country"),
-            ),
+        located = self.table("supplier").join(
+            self._places.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey"
         )
+        columns = {
+            "warehouse_sk": "s_suppkey",
+            "warehouse_name": "s_name",
+            "city": "n_name",
+            "country": "r_name",
+        }
+        return self._conform("warehouse", located, "w", columns)
 
     @cached_property
     def _segments(self) -> DataFrame:
         """One row with the handful of market segments in alphabetical order."""
-        return self.table("customer").agg(F.array_sort(F.collect_set("c_mktsegment")).alias("segments"))
+        return self.table("customer").selectExpr("array_sort(collect_set(c_mktsegment)) AS segments")
 
     @cached_property
     def customer(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self._conform(
-            "customer",
-            self.table("customer").select(
-                key.alias("c_customer_sk"),
-                F.col("c_name").alias("c_customer_id"),
-                F.col("c_nationkey").alias("c_current_addr_sk"),
-                F.array_position(self._segments.scalar(), F.col("c_mktsegment")).alias(
-                    "c_current_cdemo_sk"
-                ),
-                (key % 20).alias("c_current_hdemo_sk"),
-            ),
-        )
+        ranked = self.table("customer").withColumn("segments", self._segments.scalar())
+        columns = {
+            "customer_sk": "c_custkey",
+            "customer_id": "c_name",
+            "current_addr_sk": "c_nationkey",
+            "current_cdemo_sk": "array_position(segments, c_mktsegment)",
+            "current_hdemo_sk": "c_custkey % 20",
+        }
+        return self._conform("customer", ranked, "c", columns)
 
     @cached_property
     def customer_address(self) -> DataFrame:
-        return self._conform(
-            "customer_address",
-            self._places.select(
-                F.col("n_nationkey").alias("ca_address_sk"),
-                F.col("n_name").alias("ca_city"),
-                F.col("r_name").alias("ca_country"),
-            ),
-        )
+        columns = {"address_sk": "n_nationkey", "city": "n_name", "country": "r_name"}
+        return self._conform("customer_address", self._places, "ca", columns)
 
     @cached_property
     def customer_demographics(self) -> DataFrame:
-        ranked = self._segments.select(F.posexplode("segments").alias("position", "segment"))
-        return self._conform(
-            "customer_demographics",
-            ranked.select(
-                (F.col("position") + 1).alias("cd_demo_sk"), F.col("segment").alias("cd_credit_rating")
-            ),
-        )
+        ranked = self._segments.selectExpr("posexplode(segments) AS (position, segment)")
+        columns = {"demo_sk": "position + 1", "credit_rating": "segment"}
+        return self._conform("customer_demographics", ranked, "cd", columns)
 
     @cached_property
     def household_demographics(self) -> DataFrame:
-        key = F.col("id")
-        return self._conform(
-            "household_demographics",
-            self.spark.range(20).select(
-                key.alias("hd_demo_sk"),
-                _unless(key == 13, key % 5).alias("hd_income_band_sk"),
-                (key % 7).cast("int").alias("hd_dep_count"),
-                (key % 4).cast("int").alias("hd_vehicle_count"),
-            ),
-        )
+        columns = {
+            "demo_sk": "id",
+            "income_band_sk": _null_if("id = 13", "id % 5"),
+            "dep_count": "CAST(id % 7 AS INT)",
+            "vehicle_count": "CAST(id % 4 AS INT)",
+        }
+        return self._conform("household_demographics", self.spark.range(20), "hd", columns)
 
     @cached_property
     def income_band(self) -> DataFrame:
-        lower = F.col("id") * 10_000
-        return self._conform(
-            "income_band",
-            self.spark.range(5).select(
-                F.col("id").alias("ib_income_band_sk"),
-                lower.cast("int").alias("ib_lower_bound"),
-                (lower + 9_999).cast("int").alias("ib_upper_bound"),
-            ),
-        )
+        columns = {
+            "income_band_sk": "id",
+            "lower_bound": "CAST(id * 10000 AS INT)",
+            "upper_bound": "CAST(id * 10000 + 9999 AS INT)",
+        }
+        return self._conform("income_band", self.spark.range(5), "ib", columns)

@@ -32,11 +32,7 @@ def mean(total: Column, count: Column) -> Column:
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Publish exact decimal measures as doubles, as the mart tables declare them."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    exact = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    if not exact:
+        return df
+    return df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" if c in exact else f"`{c}`" for c in df.columns])

@@ -44,5 +44,5 @@ def dated(
     broadcast (``plans.sizing``) keeps the facts where they are; otherwise Spark
     chooses by its own statistics.
     """
-    days = calendar.select(F.col("date_sk").alias("_day_key"), *attributes)
+    days = calendar.selectExpr("date_sk AS _day_key", *attributes)
     return facts.join(days, facts[key] == days["_day_key"], how).drop("_day_key")

@@ -45,11 +45,11 @@ def latest_sale(activity: DataFrame) -> DataFrame:
 
 def customer_rfm(activity: DataFrame) -> DataFrame:
     """Recency, frequency and monetary value of each customer."""
-    return activity.select(
+    return activity.selectExpr(
         "customer_sk",
-        F.col("last_purchase_date").alias("recent_purchase"),
-        F.col("orders").alias("frequency"),
-        F.col("sales_amt").alias("monetary"),
+        "last_purchase_date AS recent_purchase",
+        "orders AS frequency",
+        "sales_amt AS monetary",
     )
 
 

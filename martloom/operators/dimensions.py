@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+_LABELS = ("recency_segment", "frequency_segment", "monetary_segment", "customer_segment")
 
 
 def _unprefixed(
     df: DataFrame, prefix: str, without: tuple[str, ...] = (), rename: dict[str, str] | None = None
-) -> list[Column]:
+) -> list[str]:
     """Columns of a raw table under their names without the table prefix."""
     renamed = rename or {}
     names = [c.removeprefix(prefix) for c in df.columns]
-    return [df[prefix + n].alias(renamed.get(n, n)) for n in names if n not in without]
+    return [f"{prefix}{n} AS `{renamed.get(n, n)}`" for n in names if n not in without]
 
 
 def dim_item(item: DataFrame) -> DataFrame:
-    return item.select(*_unprefixed(item, "i_"))
+    return item.selectExpr(*_unprefixed(item, "i_"))
 
 
 def dim_warehouse(warehouse: DataFrame) -> DataFrame:
-    return warehouse.select(*_unprefixed(warehouse, "w_"))
+    return warehouse.selectExpr(*_unprefixed(warehouse, "w_"))
 
 
 def dim_customer(
@@ -86,14 +87,8 @@ def dim_customer(
         ),
     ]
     if segments is None:
-        return linked.select(*columns)
-    labels = segments.select(
-        F.col("customer_sk").alias("segment_customer_sk"),
-        "recency_segment",
-        "frequency_segment",
-        "monetary_segment",
-        "customer_segment",
-    )
-    return linked.join(labels, customer["c_customer_sk"] == labels["segment_customer_sk"]).select(
-        *columns, *labels.columns[1:]
+        return linked.selectExpr(*columns)
+    labels = segments.selectExpr("customer_sk AS segment_customer_sk", *_LABELS)
+    return linked.join(labels, customer["c_customer_sk"] == labels["segment_customer_sk"]).selectExpr(
+        *columns, *_LABELS
     )

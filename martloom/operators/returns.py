@@ -10,28 +10,24 @@ from martloom.operators.calendar import dated
 
 
 def _returned_lines(raw: DataFrame, prefix: str, amount: str) -> DataFrame:
-    def c(name):
-        return F.col(f"{prefix}_{name}")
-
-    valid = (
-        c("returned_date_sk").isNotNull()
-        & c("item_sk").isNotNull()
-        & (c("return_quantity") > 0)
-        & (c(amount) > 0)
+    p = prefix
+    valid = raw.where(
+        f"{p}_returned_date_sk IS NOT NULL AND {p}_item_sk IS NOT NULL"
+        f" AND {p}_return_quantity > 0 AND {amount} > 0"
     )
-    return raw.where(valid).select(
-        c("returned_date_sk").alias("returned_date_sk"),
-        c("item_sk").alias("item_sk"),
-        c("return_quantity").alias("return_qty"),
-        c(amount).alias("return_amt"),
-        c("net_loss").alias("return_loss"),
+    return valid.selectExpr(
+        f"{p}_returned_date_sk AS returned_date_sk",
+        f"{p}_item_sk AS item_sk",
+        f"{p}_return_quantity AS return_qty",
+        f"{amount} AS return_amt",
+        f"{p}_net_loss AS return_loss",
     )
 
 
 def combined_returns(catalog_returns: DataFrame, web_returns: DataFrame) -> DataFrame:
     """Return lines with a day, an item, a positive quantity and a positive amount."""
-    return _returned_lines(catalog_returns, "cr", "return_amount").unionByName(
-        _returned_lines(web_returns, "wr", "return_amt")
+    return _returned_lines(catalog_returns, "cr", "cr_return_amount").unionByName(
+        _returned_lines(web_returns, "wr", "wr_return_amt")
     )
 
 
@@ -47,11 +43,11 @@ def returns_weekly(returns: DataFrame, calendar: DataFrame) -> DataFrame:
             F.sum("return_loss").alias("sum_return_loss_wk"),
         )
     )
-    return weekly.select(
+    return weekly.selectExpr(
         "yr_wk_num",
         "item_sk",
         "week_start_date",
-        F.date_add("week_start_date", 6).alias("week_end_date"),
+        "date_add(week_start_date, 6) AS week_end_date",
         "sum_return_qty_wk",
         "sum_return_amt_wk",
         "sum_return_loss_wk",
@@ -78,7 +74,7 @@ def returns_with_sales(
     sold, back = item_weeks.alias("sold"), returns.alias("back")
     key = ["yr_wk_num", "item_sk"] + (["week_start_date"] if match_week_start else [])
     same = [F.col(f"sold.{k}") == F.col(f"back.{k}") for k in key]
-    paired = sold.join(back, same, "left").select(
+    paired = sold.join(back, same, "left").selectExpr(
         "sold.yr_wk_num",
         "sold.item_sk",
         "sold.week_start_date",
@@ -86,8 +82,8 @@ def returns_with_sales(
         "back.sum_return_qty_wk",
         "back.sum_return_amt_wk",
         "back.sum_return_loss_wk",
-        F.col("sold.sum_amt_wk").alias("sum_sales_amt_wk"),
-        F.col("sold.sum_qty_wk").alias("sum_sales_qty_wk"),
+        "sold.sum_amt_wk AS sum_sales_amt_wk",
+        "sold.sum_qty_wk AS sum_sales_qty_wk",
     )
     amount_rate = ratios.percentage(F.col("sum_return_amt_wk"), F.col("sum_sales_amt_wk"))
     quantity_rate = ratios.percentage(F.col("sum_return_qty_wk"), F.col("sum_sales_qty_wk"))

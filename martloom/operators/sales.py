@@ -23,9 +23,6 @@ class Channel:
     order: str = "order_number"
     promo: str | None = "promo_sk"
 
-    def column(self, name: str):
-        return F.col(f"{self.prefix}_{name}")
-
 
 CATALOG = Channel("Catalog", "cs")
 WEB = Channel("Web", "ws")
@@ -41,27 +38,25 @@ def sold_lines(raw: DataFrame, channel: Channel) -> DataFrame:
     positive exactly when the price is, and stating it on the bare columns lets
     every condition reach the scan.
     """
-    c = channel.column
-    valid = (
-        (c("quantity") > 0)
-        & (c("sales_price") > 0)
-        & c("sold_date_sk").isNotNull()
-        & c(channel.site).isNotNull()
-        & c(channel.customer).isNotNull()
+    p = channel.prefix
+    customer, site = f"{p}_{channel.customer}", f"{p}_{channel.site}"
+    promo = f"{p}_{channel.promo}" if channel.promo else "NULL"
+    valid = raw.where(
+        f"{p}_quantity > 0 AND {p}_sales_price > 0 AND {p}_sold_date_sk IS NOT NULL"
+        f" AND {site} IS NOT NULL AND {customer} IS NOT NULL"
     )
-    promo = c(channel.promo) if channel.promo else F.lit(None)
-    return raw.where(valid).select(
-        c(channel.customer).alias("customer_sk"),
-        c("item_sk").alias("item_sk"),
-        promo.cast("long").alias("promo_sk"),
-        c(channel.order).cast("long").alias("order_number"),
-        F.lit(channel.name).alias("channel_key"),
-        c(channel.site).alias("warehouse_sk"),
-        c("sold_date_sk").alias("sold_date_sk"),
-        c("quantity").alias("daily_qty"),
-        (c("quantity") * c("sales_price")).alias("daily_sales_amt"),
-        c("net_profit").alias("daily_net_profit"),
-        c("ext_wholesale_cost").alias("daily_cogs"),
+    return valid.selectExpr(
+        f"{customer} AS customer_sk",
+        f"{p}_item_sk AS item_sk",
+        f"CAST({promo} AS BIGINT) AS promo_sk",
+        f"CAST({p}_{channel.order} AS BIGINT) AS order_number",
+        f"'{channel.name}' AS channel_key",
+        f"{site} AS warehouse_sk",
+        f"{p}_sold_date_sk AS sold_date_sk",
+        f"{p}_quantity AS daily_qty",
+        f"{p}_quantity * {p}_sales_price AS daily_sales_amt",
+        f"{p}_net_profit AS daily_net_profit",
+        f"{p}_ext_wholesale_cost AS daily_cogs",
     )
 
 
@@ -106,6 +101,7 @@ def inventory_with_date(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 _STOCK_KEY = ["yr_wk_num", "warehouse_sk", "item_sk"]
+_WEEK_END = "date_add(week_start_date, 6) AS week_end_date"
 
 
 def _sales_by_week(lines: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -152,16 +148,15 @@ def weekly_sales_inventory(
         pre_aggregate: leave the factors out, giving true weekly totals.
     """
     joined = _sales_by_week(lines, calendar).join(_stock_by_week(inventory, calendar), _STOCK_KEY)
-    per_snapshot = F.lit(1) if pre_aggregate else F.col("snapshots")
-    per_sale_day = F.lit(1) if pre_aggregate else F.col("sale_days")
-    totals = joined.select(
+    per_snapshot, per_sale_day = ("1", "1") if pre_aggregate else ("snapshots", "sale_days")
+    totals = joined.selectExpr(
         *_STOCK_KEY,
         "week_start_date",
-        F.date_add("week_start_date", 6).alias("week_end_date"),
-        (F.col("daily_qty") * per_snapshot).alias("sum_qty_wk"),
-        (F.col("daily_sales_amt") * per_snapshot).alias("sum_amt_wk"),
-        (F.col("daily_net_profit") * per_snapshot).alias("sum_profit_wk"),
-        F.coalesce(F.col("on_hand") * per_sale_day, F.lit(0)).alias("inv_on_hand_qty_wk"),
+        _WEEK_END,
+        f"daily_qty * {per_snapshot} AS sum_qty_wk",
+        f"daily_sales_amt * {per_snapshot} AS sum_amt_wk",
+        f"daily_net_profit * {per_snapshot} AS sum_profit_wk",
+        f"coalesce(on_hand * {per_sale_day}, 0) AS inv_on_hand_qty_wk",
     )
     sold, on_hand = F.col("sum_qty_wk"), F.col("inv_on_hand_qty_wk")
     pace = ratios.per_day(sold)
@@ -187,14 +182,8 @@ def sales_item_weekly(weekly: DataFrame) -> DataFrame:
         F.sum("sum_amt_wk").alias("sum_amt_wk"),
         F.sum("sum_profit_wk").alias("sum_profit_wk"),
     )
-    return rolled.select(
-        "yr_wk_num",
-        "item_sk",
-        "week_start_date",
-        F.date_add("week_start_date", 6).alias("week_end_date"),
-        "sum_qty_wk",
-        "sum_amt_wk",
-        "sum_profit_wk",
+    return rolled.selectExpr(
+        "yr_wk_num", "item_sk", "week_start_date", _WEEK_END, "sum_qty_wk", "sum_amt_wk", "sum_profit_wk"
     )
 
 

@@ -23,7 +23,7 @@ def read_raw(spark: SparkSession, name: str, path: str | list[str]) -> DataFrame
         .option("enforceSchema", False)
         .csv(path)
     )
-    return raw.select(*[F.col(c).try_cast("long").alias(c) if is_key(c) else F.col(c) for c in raw.columns])
+    return raw.selectExpr(*[f"TRY_CAST({c} AS BIGINT) AS {c}" if is_key(c) else c for c in raw.columns])
 
 
 def load_snapshot(
