@@ -7,8 +7,10 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str | None = None) -> SparkSession:
+def local_session(cpus: int | str | None = None, **settings: str) -> SparkSession:
+    """Session on ``cpus`` cores; ``settings`` are Spark options with ``__`` for dots."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
+    options = {name.replace("__", "."): value for name, value in settings.items()}
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("martloom")
@@ -16,6 +18,7 @@ def local_session(cpus: int | str | None = None) -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=options)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,115 @@
+"""Physical plans: what must reach the scan, what must not be there, how often data moves."""
+
+import re
+
+import pytest
+
+from checks.queries import queries
+from martloom.operators import customers, returns, sales
+from martloom.operators.calendar import week_calendar
+from martloom.plans import sizing
+from martloom.schemas import RAW_SCHEMAS
+from tests.conftest import SMALL
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - {"csv_roundtrip", "extract_snapshot", "published_sql"}))
+def test_no_costly_operators(spark, name):
+    text = plan(queries()[name](spark, SMALL))
+    for unwanted in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin", "Window"):
+        assert unwanted not in text
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    """Raw tables as Parquet files, large enough in Spark's eyes not to broadcast by themselves."""
+    folder = tmp_path_factory.mktemp("raw")
+    out = {}
+    for name, schema in RAW_SCHEMAS.items():
+        path = f"{folder}/{name}"
+        df = spark.createDataFrame([], schema)
+        keys = [f"CAST({c} AS BIGINT) AS {c}" if c.endswith("_sk") else c for c in df.columns]
+        df.selectExpr(*keys).write.parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def calendar(raw):
+    return sizing.checked_calendar(raw["date_dim"])
+
+
+def shuffles(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(df))
+
+
+def test_filters_and_columns_reach_the_scan(raw, capsys):
+    sales.combined_daily_sales(raw["catalog_sales"], raw["web_sales"]).explain("formatted")
+    text = capsys.readouterr().out
+    for pushed in (
+        "GreaterThan(cs_quantity,0.0)",
+        "GreaterThan(cs_sales_price,0.0)",
+        "IsNotNull(cs_sold_date_sk)",
+        "IsNotNull(cs_warehouse_sk)",
+        "IsNotNull(cs_bill_customer_sk)",
+    ):
+        assert pushed in text
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert len(read) == 2 and all(columns.count(":") == 7 for columns in read)
+
+
+def test_weekly_fact_moves_lines_once(raw, calendar, no_auto_broadcast):
+    lines = sales.combined_daily_sales(raw["catalog_sales"], raw["web_sales"])
+    fact = sales.weekly_sales_inventory(lines, raw["inventory"], calendar)
+    # sales lines once, their weekly sums once more for the join, stock once
+    assert len(shuffles(fact)) == 3
+    assert plan(fact).count("BroadcastHashJoin") == 2 and plan(fact).count("SortMergeJoin") == 1
+
+
+def test_item_weeks_arrive_partitioned_for_the_returns_join(raw, calendar, no_auto_broadcast):
+    lines = sales.combined_daily_sales(raw["catalog_sales"], raw["web_sales"])
+    fact = sales.weekly_sales_inventory(lines, raw["inventory"], calendar)
+    back = returns.returns_weekly(returns.combined_returns(raw["catalog_returns"], raw["web_returns"]), calendar)
+    joined = returns.returns_with_sales(sales.sales_item_weekly(fact), back)
+    # three of the fact, one for the item weeks, two of the returns
+    assert len(shuffles(joined)) == 6
+    assert len(shuffles(sales.sales_item_weekly(fact))) == 4
+
+
+def test_daily_fact_shuffles_once_without_dates(raw, calendar, no_auto_broadcast):
+    lines = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
+    (keys,) = shuffles(sales.fact_sales_daily(lines, calendar))
+    assert "sold_date_sk" in keys and "week_of_year" not in keys
+
+
+def test_activity_spreads_orders_first(raw, calendar, no_auto_broadcast):
+    lines = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
+    activity = customers.customer_activity(sales.sales_with_date(lines, calendar))
+    found = shuffles(activity)
+    assert len(found) == 2 and any("order_number" in keys for keys in found)
+    # reports drop the sums they do not use
+    cohorts = plan(customers.customer_cohorts(activity))
+    assert "sum(" not in cohorts and "count(" not in cohorts
+
+
+def test_broadcast_only_within_the_limit(spark, raw, no_auto_broadcast):
+    facts = spark.range(100).withColumnRenamed("id", "k")
+    small = sizing.broadcast_within(spark.range(10), 10)
+    large = sizing.broadcast_within(spark.range(11), 10)
+    assert "BroadcastHashJoin" in plan(facts.join(small, facts["k"] == small["id"]))
+    assert "SortMergeJoin" in plan(facts.join(large, facts["k"] == large["id"]))
+    hinted = sizing.checked_calendar(raw["date_dim"])
+    bare = week_calendar(raw["date_dim"])
+    inventory = raw["inventory"]
+    assert "BroadcastHashJoin" in plan(sales.inventory_with_date(inventory, hinted))
+    assert "SortMergeJoin" in plan(sales.inventory_with_date(inventory, bare))
