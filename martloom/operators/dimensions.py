@@ -41,7 +41,7 @@ def dim_customer(
 
     Args:
         segments: ``rfm_segments``; when given, only customers with a segment are
-            kept and the four labels are added.
+            kept and the four labels are added. Labels are never null.
     """
     households = household_demographics.join(
         income_band,

@@ -100,9 +100,13 @@ def inventory_with_date(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
     return dated(stock, calendar, "date_sk", ["date", "yr_wk_num"])
 
 
-_STOCK_KEY = ["yr_wk_num", "warehouse_sk", "item_sk"]
 _WEEK_END = "date_add(week_start_date, 6) AS week_end_date"
 
+# A week key is all digits. Grouping and joining use it as a number; the calendar
+# converts it once per day and the finished rows convert it back.
+_WEEK_NUMBER = "CAST(yr_wk_num AS INT) AS week"
+_STOCK_KEY = ["week", "warehouse_sk", "item_sk"]
+
 
 def _sales_by_week(lines: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sales by week, warehouse and item in a single shuffle.
@@ -110,24 +114,26 @@ def _sales_by_week(lines: DataFrame, calendar: DataFrame) -> DataFrame:
     ``sale_days`` counts distinct days: each day of the week sets one bit, and
     bits merge in the map-side aggregate like the sums do.
     """
-    week = ["date", "yr_wk_num", "week_start_date"]
-    weekday_bit = F.call_function("shiftleft", F.lit(1), F.dayofweek("date"))
+    day = [_WEEK_NUMBER, "week_start_date", "shiftleft(1, dayofweek(date)) AS weekday_bit"]
     return (
-        dated(lines, calendar, "sold_date_sk", week)
+        dated(lines, calendar, "sold_date_sk", day)
         .groupBy(*_STOCK_KEY, "week_start_date")
         .agg(
             *[F.sum(m).alias(m) for m in _MEASURES],
-            F.bit_count(F.bit_or(weekday_bit)).alias("sale_days"),
+            F.bit_count(F.bit_or("weekday_bit")).alias("sale_days"),
         )
     )
 
 
 def _stock_by_week(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
     """Stock by week, warehouse and item with the number of snapshots behind it."""
+    stock = inventory.selectExpr(
+        "inv_date_sk", "inv_warehouse_sk AS warehouse_sk", "inv_item_sk AS item_sk", "inv_quantity_on_hand"
+    )
     return (
-        inventory_with_date(inventory, calendar)
+        dated(stock, calendar, "inv_date_sk", [_WEEK_NUMBER])
         .groupBy(*_STOCK_KEY)
-        .agg(F.sum("quantity_on_hand").alias("on_hand"), F.count(F.lit(1)).alias("snapshots"))
+        .agg(F.sum("inv_quantity_on_hand").alias("on_hand"), F.count(F.lit(1)).alias("snapshots"))
     )
 
 
@@ -144,13 +150,15 @@ def weekly_sales_inventory(
     Args:
         lines: ``combined_daily_sales``.
         inventory: raw inventory.
-        calendar: ``week_calendar``, one row per day.
+        calendar: ``week_calendar``; exactly one row per day, as the counts of days rely on it.
         pre_aggregate: leave the factors out, giving true weekly totals.
     """
     joined = _sales_by_week(lines, calendar).join(_stock_by_week(inventory, calendar), _STOCK_KEY)
     per_snapshot, per_sale_day = ("1", "1") if pre_aggregate else ("snapshots", "sale_days")
     totals = joined.selectExpr(
-        *_STOCK_KEY,
+        "CAST(week AS STRING) AS yr_wk_num",
+        "warehouse_sk",
+        "item_sk",
         "week_start_date",
         _WEEK_END,
         f"daily_qty * {per_snapshot} AS sum_qty_wk",
@@ -170,14 +178,8 @@ def weekly_sales_inventory(
 
 
 def sales_item_weekly(weekly: DataFrame) -> DataFrame:
-    """The weekly fact rolled up over warehouses.
-
-    A week and item has no more rows than there are warehouses, spread by the
-    fact's own partitioning, so combining before the shuffle would save nothing.
-    Partitioning by the two columns the returns join on makes this the only shuffle.
-    """
-    by_item = weekly.repartition("yr_wk_num", "item_sk")
-    rolled = by_item.groupBy("yr_wk_num", "item_sk", "week_start_date").agg(
+    """The weekly fact rolled up over warehouses."""
+    rolled = weekly.groupBy("yr_wk_num", "item_sk", "week_start_date").agg(
         F.sum("sum_qty_wk").alias("sum_qty_wk"),
         F.sum("sum_amt_wk").alias("sum_amt_wk"),
         F.sum("sum_profit_wk").alias("sum_profit_wk"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.calendar import week_calendar
+from martloom.plans.shared import materialize
 
 # About 400 years of days, a dozen megabytes of week attributes.
 MAX_CALENDAR_DAYS = 150_000
@@ -21,5 +22,10 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def checked_calendar(date_dim: DataFrame, week_rule: str = "shifted_iso") -> DataFrame:
-    """Week calendar that facts can look up without being shuffled."""
-    return broadcast_within(week_calendar(date_dim, week_rule), MAX_CALENDAR_DAYS)
+    """Week calendar that facts can look up without being shuffled.
+
+    It is written once: counting it and broadcasting it then read a small file
+    instead of deriving the calendar twice.
+    """
+    days = materialize(week_calendar(date_dim, week_rule), "calendar")
+    return broadcast_within(days, MAX_CALENDAR_DAYS)

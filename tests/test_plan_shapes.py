@@ -76,14 +76,14 @@ def test_weekly_fact_moves_lines_once(raw, calendar, no_auto_broadcast):
     assert plan(fact).count("BroadcastHashJoin") == 2 and plan(fact).count("SortMergeJoin") == 1
 
 
-def test_item_weeks_arrive_partitioned_for_the_returns_join(raw, calendar, no_auto_broadcast):
+def test_roll_ups_combine_before_they_shuffle(raw, calendar, no_auto_broadcast):
     lines = sales.combined_daily_sales(raw["catalog_sales"], raw["web_sales"])
     fact = sales.weekly_sales_inventory(lines, raw["inventory"], calendar)
     back = returns.returns_weekly(returns.combined_returns(raw["catalog_returns"], raw["web_returns"]), calendar)
-    joined = returns.returns_with_sales(sales.sales_item_weekly(fact), back)
-    # three of the fact, one for the item weeks, two of the returns
-    assert len(shuffles(joined)) == 6
-    assert len(shuffles(sales.sales_item_weekly(fact))) == 4
+    text = plan(returns.returns_with_sales(sales.sales_item_weekly(fact), back))
+    # each aggregate has its map-side half below the shuffle
+    assert len(re.findall(r"HashAggregate\(.*functions=\[partial_", text)) == 4
+    assert len(re.findall(r"HashAggregate\(.*functions=\[(?!partial_)", text)) == 4
 
 
 def test_daily_fact_shuffles_once_without_dates(raw, calendar, no_auto_broadcast):
