@@ -21,7 +21,8 @@ from checks.session import local_session
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for file in sorted(Path(folder).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+        files = f"{file}/*.parquet" if file.is_dir() else file
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

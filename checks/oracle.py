@@ -100,10 +100,13 @@ def _calendar(name: str, week_day: str, year_day: str) -> str:
 
 
 def _rate(part: str, whole: str) -> str:
+    """Percentage, rounded half up on the decimal text of the double.
+
+    A shorter decimal in between would turn 40.62499999999999 into a tie.
+    """
     share = f"CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100"
-    return (
-        f"CASE WHEN {whole} > 0 THEN CAST(round(CAST({share} AS DECIMAL(38,12)), 2) AS DOUBLE) ELSE 0 END"
-    )
+    exact = f"CAST(CAST({share} AS VARCHAR) AS DECIMAL(38,17))"
+    return f"CASE WHEN {whole} > 0 THEN CAST(round({exact}, 2) AS DOUBLE) ELSE 0 END"
 
 
 _MIDWEEK = f"{_sunday('d_date')} + 4"
