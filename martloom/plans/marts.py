@@ -108,31 +108,37 @@ def build_marketing_mart(
         partition_daily_by_year: lay the daily fact out by ``sold_yr_num`` so that
             readers of a year skip the others.
     """
-    calendar = broadcast_within(week_calendar(raw["date_dim"]), MAX_CALENDAR_DAYS)
-    lines = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
+    with shared(week_calendar(raw["date_dim"]), "calendar") as days:
+        calendar = broadcast_within(days, MAX_CALENDAR_DAYS)
+        lines = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
+        write_mart(
+            sales.fact_sales_daily(lines, calendar),
+            base,
+            "fact_sales_marketing_daily",
+            partition_by=("sold_yr_num",) if partition_daily_by_year else (),
+        )
+        per_customer = customers.customer_activity(sales.sales_with_date(lines, calendar))
+        with shared(per_customer, "customer_activity") as activity:
+            _write_customer_reports(raw, base, activity, limits, churn_days)
 
-    daily = sales.fact_sales_daily(lines, calendar)
+
+def _write_customer_reports(
+    raw: Mapping[str, DataFrame],
+    base: str,
+    activity: DataFrame,
+    limits: SegmentThresholds,
+    churn_days: int,
+) -> None:
+    latest = customers.latest_sale(activity)
+    churn = customers.churn_by_cohort(activity, latest, churn_days)
     write_mart(
-        daily,
+        customers.customer_clv(customers.customer_summary(activity), customers.average_lifespan(churn)),
         base,
-        "fact_sales_marketing_daily",
-        partition_by=("sold_yr_num",) if partition_daily_by_year else (),
+        "rpt_clv_marketing",
+    )
+    segments = customers.rfm_segments(activity, latest, limits)
+    write_mart(
+        dimensions.dim_customer(*[raw[name] for name in _CUSTOMER_TABLES], segments=segments),
+        base,
+        "dim_customer_marketing",
     )
-
-    per_customer = customers.customer_activity(sales.sales_with_date(lines, calendar))
-    with shared(per_customer, "customer_activity") as activity:
-        latest = customers.latest_sale(activity)
-        churn = customers.churn_by_cohort(activity, latest, churn_days)
-        write_mart(
-            customers.customer_clv(
-                customers.customer_summary(activity), customers.average_lifespan(churn)
-            ),
-            base,
-            "rpt_clv_marketing",
-        )
-        segments = customers.rfm_segments(activity, latest, limits)
-        write_mart(
-            dimensions.dim_customer(*[raw[name] for name in _CUSTOMER_TABLES], segments=segments),
-            base,
-            "dim_customer_marketing",
-        )

@@ -11,7 +11,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,13 +34,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/martloom/{name}-{uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and continue from the written table."""
-    path = shared_path(df.sparkSession, name)
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and continue from the written table."""
+    return _written(df, shared_path(df.sparkSession, name))
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``materialize``, and the number of rows, counted while writing."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return table, seen.get["rows"]
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -51,7 +62,6 @@ def shared(df: DataFrame, name: str) -> Iterator[DataFrame]:
     spark = df.sparkSession
     path = shared_path(spark, name)
     try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
+        yield _written(df, path)
     finally:
         _delete(spark, path)

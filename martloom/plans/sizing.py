@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.calendar import week_calendar
-from martloom.plans.shared import materialize
+from martloom.plans.shared import materialize_counted
 
 # About 400 years of days, a dozen megabytes of week attributes.
 MAX_CALENDAR_DAYS = 150_000
@@ -24,8 +24,8 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
 def checked_calendar(date_dim: DataFrame, week_rule: str = "shifted_iso") -> DataFrame:
     """Week calendar that facts can look up without being shuffled.
 
-    It is written once: counting it and broadcasting it then read a small file
-    instead of deriving the calendar twice.
+    It is written once and counted on the way, so the broadcast reads a small
+    file and the calendar is not derived again.
     """
-    days = materialize(week_calendar(date_dim, week_rule), "calendar")
-    return broadcast_within(days, MAX_CALENDAR_DAYS)
+    days, rows = materialize_counted(week_calendar(date_dim, week_rule), "calendar")
+    return F.broadcast(days) if rows <= MAX_CALENDAR_DAYS else days

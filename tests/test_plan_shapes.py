@@ -8,6 +8,7 @@ from checks.queries import queries
 from martloom.operators import customers, returns, sales
 from martloom.operators.calendar import week_calendar
 from martloom.plans import sizing
+from martloom.plans.shared import materialize_counted
 from martloom.schemas import RAW_SCHEMAS
 from tests.conftest import SMALL
 
@@ -86,6 +87,12 @@ def test_roll_ups_combine_before_they_shuffle(raw, calendar, no_auto_broadcast):
     assert len(re.findall(r"HashAggregate\(.*functions=\[(?!partial_)", text)) == 4
 
 
+def test_a_calendar_beyond_the_limit_is_not_broadcast(raw, no_auto_broadcast, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_CALENDAR_DAYS", -1)
+    large = sizing.checked_calendar(raw["date_dim"])
+    assert "SortMergeJoin" in plan(sales.inventory_with_date(raw["inventory"], large))
+
+
 def test_daily_fact_shuffles_once_without_dates(raw, calendar, no_auto_broadcast):
     lines = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
     (keys,) = shuffles(sales.fact_sales_daily(lines, calendar))
@@ -109,6 +116,8 @@ def test_broadcast_only_within_the_limit(spark, raw, no_auto_broadcast):
     assert "BroadcastHashJoin" in plan(facts.join(small, facts["k"] == small["id"]))
     assert "SortMergeJoin" in plan(facts.join(large, facts["k"] == large["id"]))
     hinted = sizing.checked_calendar(raw["date_dim"])
+    table, rows = materialize_counted(spark.range(7), "seven")
+    assert rows == table.count() == 7
     bare = week_calendar(raw["date_dim"])
     inventory = raw["inventory"]
     assert "BroadcastHashJoin" in plan(sales.inventory_with_date(inventory, hinted))
