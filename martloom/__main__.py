@@ -1,26 +1,29 @@
 """Run the jobs with spark-submit or ``python -m martloom``.
 
-    extract    --database raw --zone <folder> --as-of 2025-10-22
+    extract    --database raw --zone <folder> --as-of 2025-10-22 [--jdbc-url <url>]
     sales      --zone <folder> --as-of 2025-10-22 --mart <folder>
     marketing  --zone <folder> --as-of 2025-10-22 --mart <folder>
     publish    --mart <sales folder> --marketing-mart <marketing folder>
 
-``extract`` reads the tables of a database of the session, which may belong to a
-JDBC catalog. Storage endpoints and credentials come from the Spark configuration.
+``extract`` reads the tables of a database of the session. With ``--jdbc-url`` it
+reads the raw tables from that schema of a relational database instead, each in
+``--partitions`` ranges of a key. Storage endpoints and credentials come from the
+Spark configuration.
 """
 
 from __future__ import annotations
 
 import argparse
 from datetime import date
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from martloom.plans.extract import extract_snapshot
 from martloom.plans.marts import MARKETING_INPUTS, SALES_INPUTS, build_marketing_mart, build_sales_mart
-from martloom.schemas import MARKETING_MART, SALES_MART
+from martloom.schemas import MARKETING_MART, RAW_SCHEMAS, SALES_MART
 from martloom.sinks import publish
-from martloom.sources.readers import load_snapshot
+from martloom.sources.readers import load_snapshot, read_jdbc_split
 from martloom.sources.snapshots import expected_paths, list_tables, resolve_snapshot
 
 
@@ -31,6 +34,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     extract = jobs.add_parser("extract", help="write the raw snapshot of a day")
     extract.add_argument("--database", required=True)
     extract.add_argument("--keep-older", action="store_true")
+    extract.add_argument("--jdbc-url")
+    extract.add_argument("--partitions", type=int, default=200)
     for name in ("sales", "marketing"):
         mart = jobs.add_parser(name, help=f"build the {name} mart from a snapshot")
         mart.add_argument("--mart", required=True, help="folder of the mart tables")
@@ -48,8 +53,16 @@ def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"martloom-{args.job}").getOrCreate()
     if args.job == "extract":
-        names = list_tables(spark, args.database)
-        tables = {name: spark.table(f"{args.database}.{name}") for name in names}
+        if args.jdbc_url:
+            tables = {
+                name: partial(
+                    read_jdbc_split, spark, args.jdbc_url, f"{args.database}.{name}", args.partitions
+                )
+                for name in RAW_SCHEMAS
+            }
+        else:
+            names = list_tables(spark, args.database)
+            tables = {name: partial(spark.table, f"{args.database}.{name}") for name in names}
         extract_snapshot(spark, tables, args.as_of, args.zone, args.keep_older).show(truncate=False)
     elif args.job == "publish":
         publish(spark, args.mart, SALES_MART, as_tables=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,22 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 from martloom.sinks import clear_zone, export_raw
 from martloom.sources.snapshots import as_of_filter, as_of_key, calendar_range
 
+# A table, or how to open it: opening then fails for that table alone.
+Source = DataFrame | Callable[[], DataFrame]
+
 _REPORT = "table_name string, row_count long, status string, error string"
 
 
+def _open(source: Source) -> DataFrame:
+    return source if isinstance(source, DataFrame) else source()
+
+
 def snapshot_rows(name: str, table: DataFrame, as_of_sk: int) -> DataFrame:
     """Rows of one table that go into the snapshot; the calendar has its own day range."""
     return calendar_range(table) if name == "date_dim" else as_of_filter(table, as_of_sk)
 
 
 def export_all(
-    spark: SparkSession, tables: Mapping[str, DataFrame], zone: str, as_of: date, as_of_sk: int
+    spark: SparkSession, tables: Mapping[str, Source], zone: str, as_of: date, as_of_sk: int
 ) -> DataFrame:
     """Export each table; one that fails is reported and the others go on."""
     report = []
-    for name, table in tables.items():
+    for name, source in tables.items():
         try:
-            rows = export_raw(snapshot_rows(name, table, as_of_sk), zone, name, as_of)
+            rows = export_raw(snapshot_rows(name, _open(source), as_of_sk), zone, name, as_of)
             report.append((name, rows, "exported", None))
         except Exception as problem:  # any failure concerns this table alone
             report.append((name, None, "failed", str(problem)))
@@ -34,7 +41,7 @@ def export_all(
 
 def extract_snapshot(
     spark: SparkSession,
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, Source],
     as_of: date,
     zone: str,
     keep_older: bool = False,
@@ -47,7 +54,7 @@ def extract_snapshot(
         zone: folder that holds nothing but raw snapshots.
         keep_older: leave earlier snapshots in the zone instead of emptying it.
     """
-    as_of_sk = as_of_key(tables["date_dim"], as_of)
+    as_of_sk = as_of_key(_open(tables["date_dim"]), as_of)
     if not keep_older:
         clear_zone(spark, zone)
     return export_all(spark, tables, zone, as_of, as_of_sk)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +81,34 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **how) -> DataFrame:
     Filters put on the result, such as ``as_of_filter``, are pushed into the database.
     """
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **how)).load()
+
+
+def split_column(columns: Sequence[str]) -> str | None:
+    """Column to split a table's read by: a day key if it has one, else its first key."""
+    days = [c for c in columns if c.endswith("_date_sk")]
+    keys = [c for c in columns if c.endswith("_sk")]
+    return next(iter(days + keys), None)
+
+
+def read_jdbc_split(spark: SparkSession, url: str, table: str, num_partitions: int) -> DataFrame:
+    """Read a database table in ``num_partitions`` ranges of one of its keys.
+
+    The database is asked for the range of the key first. A table without a key,
+    or without rows, is read in one piece.
+    """
+    column = split_column(read_jdbc(spark, url, table).columns)
+    if column is None:
+        return read_jdbc(spark, url, table)
+    bounds = f"(SELECT min({column}) AS low, max({column}) AS high FROM {table}) AS key_range"
+    low, high = read_jdbc(spark, url, bounds).first()
+    if low is None:
+        return read_jdbc(spark, url, table)
+    return read_jdbc(
+        spark,
+        url,
+        table,
+        partition_column=column,
+        lower_bound=int(low),
+        upper_bound=int(high) + 1,
+        num_partitions=num_partitions,
+    )

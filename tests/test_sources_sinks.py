@@ -142,6 +142,31 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", "t", partition_column="k", lower_bound=1)
 
 
+def test_split_column():
+    assert readers.split_column(["c_customer_sk", "c_name", "c_first_sales_date_sk"]) == "c_first_sales_date_sk"
+    assert readers.split_column(["i_item_id", "i_item_sk"]) == "i_item_sk"
+    assert readers.split_column(["name"]) is None
+
+
+@pytest.mark.parametrize("found, split", [((3, 9), True), ((None, None), False)])
+def test_jdbc_read_is_split_by_the_range_of_a_key(spark, monkeypatch, found, split):
+    """The reader's decisions, with a stand-in for the database."""
+    asked = []
+
+    def fake(session, url, table, **how):
+        asked.append((table, how))
+        if table.startswith("(SELECT min"):
+            return session.createDataFrame([found], "low int, high int")
+        return session.createDataFrame([], "inv_date_sk int, inv_item_sk int")
+
+    monkeypatch.setattr(readers, "read_jdbc", fake)
+    readers.read_jdbc_split(spark, "jdbc:x", "raw.inventory", 4)
+    assert asked[1][0] == "(SELECT min(inv_date_sk) AS low, max(inv_date_sk) AS high FROM raw.inventory) AS key_range"
+    expected = {"partition_column": "inv_date_sk", "lower_bound": 3, "upper_bound": 10, "num_partitions": 4}
+    assert asked[2] == ("raw.inventory", expected if split else {})
+    assert readers.jdbc_options("jdbc:x", *asked[2][:1], **asked[2][1])["dbtable"] == "raw.inventory"
+
+
 # --- writing ----------------------------------------------------------------------
 
 
@@ -153,13 +178,15 @@ def test_extract_snapshot(spark, tmp_path):
     )
     bands = spark.createDataFrame([(1, 2, 3)], RAW_SCHEMAS["income_band"])
     broken = spark.range(3).select(F.raise_error(F.lit("no such disk")).cast("int").alias("a"))
-    tables = {"date_dim": _calendar(spark), "broken": broken, "inventory": inventory, "income_band": bands}
+    tables = {"date_dim": _calendar(spark), "broken": broken, "inventory": inventory, "income_band": lambda: bands}
+    tables["absent"] = lambda: spark.table("no_such_table")
 
     extract_snapshot(spark, {"date_dim": _calendar(spark)}, date(2000, 1, 2), zone)
     report = {r.table_name: r for r in extract_snapshot(spark, tables, DAY, zone).collect()}
     assert {n: (r.row_count, r.status) for n, r in report.items()} == {
         "date_dim": (5, "exported"),
         "broken": (None, "failed"),
+        "absent": (None, "failed"),
         "inventory": (2, "exported"),
         "income_band": (1, "exported"),
     }
