@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import connect, differences
+from checks.oracle import oracle_sql
+from checks.queries import queries
 from tests.conftest import SMALL
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", SMALL)
