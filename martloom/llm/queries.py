@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martloom.llm import bpe, exact_dedup, packing
+from martloom.llm import ann, bpe, exact_dedup, langid, packing, simhash, warc
 from martloom.llm.common import table
+from martloom.plans.shared import shared_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +28,33 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_files(spark, f"{sf_dir}/documents.parquet")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).drop("url")
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify_languages(docs, langid.train(docs.where(~langid.held_out())))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_language_id": op10_language_id,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -41,4 +66,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
         WINDOW same AS (PARTITION BY t)
     """,
+    "op7_warc": """
+        SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+               CASE WHEN size >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN size >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM (SELECT page_id, strlen(html) AS size, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS last
+              FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+    """,
 }
