@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.llm.common import extended
 from martloom.plans.shared import materialize
 
 DIMENSIONS = 8
@@ -237,9 +238,7 @@ def nearest(
                 more = [pa.array(cells_of(points, tree)), *[pa.array(points[:, i].copy()) for i in range(DIMENSIONS)]]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "cell", *axes])
 
-    schema = distinct.schema.add("cell", "integer")
-    for axis in axes:
-        schema = schema.add(axis, "double")
+    schema = extended(distinct.schema, ", ".join(["cell int", *[f"{axis} double" for axis in axes]]))
     index = materialize(distinct.mapInArrow(place, schema), "cells")
     sides = index.groupBy("cell").agg(*[F.min(a).alias(f"l{a}") for a in axes], *[F.max(a).alias(f"h{a}") for a in axes])
     boxes = sides.orderBy("cell").collect()

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.plans.shared import materialize
 
@@ -64,3 +65,8 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
     if name not in store:
         store[name] = make()
     return store[name]
+
+
+def extended(schema: T.StructType, fields: str) -> T.StructType:
+    """A new schema: the fields of ``schema``, then those of a DDL text."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(fields).fields])

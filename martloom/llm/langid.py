@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE_BYTES, slices, text_or_empty
+from martloom.llm.common import SLICE_BYTES, extended, slices, text_or_empty
 
 ORDERS = (1, 2, 3, 4)
 BINS = 1 << 16
@@ -152,8 +152,7 @@ def classify(docs: DataFrame, model: LanguageModel, columns: list[Column], text_
                 [*kept, pa.array(found, pa.string()), pa.array(scores)], [*names, "lang_pred", "score"]
             )
 
-    schema = slim.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(run, extended(slim.drop("_text").schema, "lang_pred string, score double"))
 
 
 def held_out(id_column: str = "doc_id") -> Column:

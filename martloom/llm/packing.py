@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import kept, slices, text_or_empty
+from martloom.llm.common import extended, kept, slices, text_or_empty
 from martloom.plans.shared import materialize
 
 CAPACITY = 4096
@@ -326,8 +326,7 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
             names = [name for name in batch.schema.names if name != "_rank"]
             yield pa.RecordBatch.from_arrays(carried + found, [*names, "sequence_id", "offset"])
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(assign, schema)
+    return ranked.mapInArrow(assign, extended(pieces.schema, "sequence_id long, offset long"))
 
 
 def pack_documents(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, exact_dedup, langid, packing, simhash, warc
+from martloom.llm import ann, bpe, chat, exact_dedup, langid, line_dedup, packing, simhash, warc
 from martloom.llm.common import table
 from martloom.plans.shared import shared_path
 
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -38,6 +42,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).drop("url")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -49,10 +58,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
+    "op8_line_dedup": op8_line_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
 }
@@ -60,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": chat.ORACLE,
     "op5_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
