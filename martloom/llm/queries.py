@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, chat, exact_dedup, langid, line_dedup, packing, simhash, warc
+from martloom.llm import ann, bpe, chat, exact_dedup, langid, line_dedup, packing, simhash, substring_dedup, warc
 from martloom.llm.common import table
 from martloom.plans.shared import shared_path
 
@@ -28,6 +28,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_files(spark, f"{sf_dir}/documents.parquet")
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
