@@ -48,7 +48,11 @@ def stream_state(
     Columns ``_digest, _seen, _stays, _content``: rows of a digest, the largest id
     and the locator (name of the file that holds that row).
     """
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKS_DB}
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKS_DB,
+        # Else each of the many small stores reserves megabytes for logs that stay nearly empty.
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    }
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
