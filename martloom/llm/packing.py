@@ -44,8 +44,12 @@ class WordTokenizer:
     through the whole tokenizer.
     """
 
-    # Letters that NFC leaves alone and whose lower case is one letter, with marks after them.
-    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+    # Lower-case letters that NFC leaves alone, with marks after them.
+    _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]*)").fullmatch
+    # Beyond these letters, lower-casing may depend on what stands around them.
+    _FOREIGN = re.compile(r"[^\x00-\u024f]").search
+    # Stops and commas beside other marks, with which they form one piece.
+    _CROWDED = re.compile(r"[.,](?:(?=[^\w\s]|_)|(?<=[^\w\s].)|(?<=_.))").search
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -60,17 +64,20 @@ class WordTokenizer:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def _fast(tokenizer, texts: list, **how) -> list[list[int]]:
+        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False, **how)]
+
     def _learn_words(self, words: list[str]) -> None:
         """Ids of lower-case words; the last token of each, and no other, ends a word."""
         spelled = [w if w.isascii() else w.encode().decode("latin1").translate(self.letters) for w in words]
-        ids = np.array(self.merges.encode(spelled, is_pretokenized=True, add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self._fast(self.merges, [spelled], is_pretokenized=True)[0], dtype="<u4")
         ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
         raw, start = ids.tobytes(), 0
         for word, end in zip(words, ends, strict=True):
-            self.words[word] = raw[start:end]
+            self.known[word] = raw[start:end]
             start = end
 
     def _learn(self, chunks: list[str]) -> None:
@@ -79,24 +86,32 @@ class WordTokenizer:
             match = self._PLAIN(chunk)
             if match:
                 word, marks = match.groups()
-                plain.append((chunk, word.lower(), marks))
+                plain.append((chunk, word, marks))
             else:
                 other.append(chunk)
-        words = self.words
+        words = self.known
         new = {w for _, word, marks in plain for w in (word, marks) if w not in words}
         new.discard("")
         if new:
             self._learn_words(list(new))
         for chunk, word, marks in plain:
-            self.known[chunk] = words[word] + words[marks] if marks else words[word]
-        for chunk, found in zip(other, self.whole.encode_batch(other, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, dtype="<u4").tobytes()
+            if marks:
+                self.known[chunk] = words[word] + words[marks]
+        for chunk, ids in zip(other, self._fast(self.whole, other), strict=True):
+            self.known[chunk] = np.array(ids, dtype="<u4").tobytes()
+
+    def _prepared(self, text: str) -> str:
+        """The text lower-cased, stops and commas set apart, where that leaves its tokens as they are."""
+        if not text.isascii() and self._FOREIGN(text):
+            return text
+        text = text.lower()
+        return text if self._CROWDED(text) else text.replace(".", " . ").replace(",", " , ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        chunked = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) + len(self.words) > MAX_CACHED_WORDS:
-            self.known, self.words = {}, {}
+        chunked = [self._prepared(t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.known) > MAX_CACHED_WORDS:
+            self.known = {}
         self.known[""] = b""
         new = [c for c in set().union(*chunked) if c not in self.known]
         if new:
