@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import slices, text_or_empty
+from martloom.llm.common import numbered, slices, text_or_empty
 from martloom.llm.components import connected_components, star_edges
 from martloom.plans.shared import materialize
 
@@ -136,58 +136,87 @@ def fuzzy_keys(prints: np.ndarray, decoder: GolayDecoder) -> tuple[np.ndarray, n
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def linked(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Edges ``a, b`` with the same components as all pairs of ``prints`` within ``max_distance`` bits.
+def linked(
+    nodes: DataFrame,
+    prints: tuple[str, ...] = ("fp",),
+    max_distance: int = MAX_DISTANCE,
+    max_check: int | None = None,
+) -> DataFrame:
+    """Edges ``a, b`` with the same components as all linked pairs of ``nodes``.
+
+    Two nodes link if one of their ``prints`` differs in at most ``max_distance``
+    bits and, with ``max_check``, their ``check`` differs in at most so many. A task
+    compares every two nodes that share a key, and gives one edge per node it
+    linked, not one per pair.
 
-    ``prints`` has distinct longs ``fp``. A task compares every two fingerprints
-    that share a key, and gives one edge per fingerprint it linked, not one per pair.
+    Args:
+        nodes: long ``id``, unique; long ``prints``; with ``max_check`` a binary
+            ``check`` of 16 bytes. Nodes should differ, so that copies do not meet here.
     """
     if not 0 <= max_distance <= 4:
         raise ValueError("the keys are complete up to 4 bits")
+    checked = max_check is not None
+    names = ["key", "id", "fp", *(["check"] if checked else [])]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = GolayDecoder()
         for batch in batches:
-            prints = batch.column("fp").to_numpy(zero_copy_only=False)
-            rows, keys = fuzzy_keys(prints.view(np.uint64), decoder)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(prints[rows])], ["key", "fp"])
+            for number, name in enumerate(prints):
+                found = batch.column(name).to_numpy(zero_copy_only=False)
+                rows, keys = fuzzy_keys(found.view(np.uint64), decoder)
+                rows = pa.array(rows)
+                columns = [pa.array((keys + number * (3 << 24)).astype(np.int32)), batch.column("id").take(rows)]
+                columns += [batch.column(c).take(rows) for c in (name, *(["check"] if checked else []))]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    def octets(batch: pa.RecordBatch) -> np.ndarray:
+        if not checked:
+            return np.zeros((batch.num_rows, 0), np.uint64)
+        return np.frombuffer(b"".join(batch.column("check").to_pylist()), dtype="<u8").reshape(-1, 2)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lefts, rights, held = [], [], 0
-        rest_keys, rest_prints = np.zeros(0, np.int32), np.zeros(0, np.uint64)
 
-        def compare(keys: np.ndarray, prints: np.ndarray) -> None:
+        def compare(keys: np.ndarray, ids: np.ndarray, prints: np.ndarray, checks: np.ndarray) -> None:
             nonlocal lefts, rights, held
             at, step = np.arange(len(keys)), 1
             while len(at):
                 at = at[at + step < len(keys)]
                 at = at[keys[at] == keys[at + step]]
                 close = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= max_distance]
+                if checked and len(close):
+                    apart = np.bitwise_count(checks[close] ^ checks[close + step]).sum(axis=1, dtype=np.int64)
+                    close = close[apart <= max_check]
                 if len(close):
-                    lefts.append(prints[close])
-                    rights.append(prints[close + step])
+                    lefts.append(ids[close])
+                    rights.append(ids[close + step])
                     held += len(close)
                 if held > 1 << 20:
                     left, right = star_edges(np.concatenate(lefts), np.concatenate(rights))
                     lefts, rights, held = [left], [right], 0
                 step += 1
 
+        rest = None
         for batch in batches:
-            keys = np.concatenate([rest_keys, batch.column("key").to_numpy(zero_copy_only=False)])
-            prints = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            prints = np.concatenate([rest_prints, prints])
-            whole = np.searchsorted(keys, keys[-1]) if len(keys) else 0
-            compare(keys[:whole], prints[:whole])
-            rest_keys, rest_prints = keys[whole:], prints[whole:]
-        compare(rest_keys, rest_prints)
+            new = (
+                batch.column("key").to_numpy(zero_copy_only=False),
+                batch.column("id").to_numpy(zero_copy_only=False),
+                batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64),
+                octets(batch),
+            )
+            new = new if rest is None else tuple(np.concatenate(pair) for pair in zip(rest, new, strict=True))
+            whole = np.searchsorted(new[0], new[0][-1]) if len(new[0]) else 0
+            compare(*(c[:whole] for c in new))
+            rest = tuple(c[whole:] for c in new)
+        if rest is not None:
+            compare(*rest)
         if lefts:
             left, right = star_edges(np.concatenate(lefts), np.concatenate(rights))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(left.view(np.int64)), pa.array(right.view(np.int64))], ["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
 
-    keys = prints.select("fp").mapInArrow(keyed, "key int, fp long")
-    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = "key int, id long, fp long" + (", check binary" if checked else "")
+    keys = nodes.mapInArrow(keyed, schema)
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keys.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(compared, "a long, b long")
 
 
@@ -209,7 +238,7 @@ def near_dedup(
     """
     printed = materialize(fingerprints(docs, words, (seed,), id_column, text_column), "fingerprints")
     nodes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct_fingerprints")
-    stars = connected_components(linked(nodes, max_distance))
+    stars = connected_components(linked(nodes.select(F.col("fp").alias("id"), "fp"), max_distance=max_distance))
     rooted = nodes.join(stars, nodes.fp == stars.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
@@ -218,3 +247,69 @@ def near_dedup(
     return printed.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# Near copies by similarity: words in a shingle; bits of 128 that differ at a similarity of 0.8 (19.4 expected).
+SIMILAR_WORDS = 5
+SIMILAR_BITS = 21
+# Words of this many letters tell documents apart; texts with fewer of them than this use all their words.
+LONG_WORD = 10
+FEWEST_LONG_WORDS = 8
+CANDIDATE_SEEDS = (42, 43)
+
+
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """Fingerprint of rows of unsigned 64-bit words: each bit by majority."""
+    if not len(hashes):
+        return np.zeros(hashes.shape[1], dtype=np.uint64)
+    ones = np.zeros(64 * hashes.shape[1], dtype=np.int64)
+    for i in range(0, len(hashes), 1 << 14):
+        octets = np.ascontiguousarray(hashes[i : i + (1 << 14)]).view(np.uint8).reshape(-1, 8 * hashes.shape[1])
+        ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
+
+
+def document_prints(text: str) -> tuple[np.ndarray, bytes]:
+    """Fingerprints of a text's distinct long words, one per seed, and 128 bits of its distinct word shingles."""
+    import xxhash
+
+    words = text.encode().lower().split()
+    distinct = set(words)
+    long_words = [w for w in distinct if len(w) >= LONG_WORD]
+    chosen = long_words if len(long_words) >= FEWEST_LONG_WORDS else distinct
+    digest = xxhash.xxh3_128_digest
+    by_word = np.frombuffer(b"".join(map(digest, chosen)), dtype="<u8").reshape(-1, len(CANDIDATE_SEEDS))
+    n = max(1, len(words) - SIMILAR_WORDS + 1) if words else 0
+    shingles = {b" ".join(words[i : i + SIMILAR_WORDS]) for i in range(n)}
+    by_shingle = np.frombuffer(b"".join(map(digest, shingles)), dtype="<u8").reshape(-1, 2)
+    return _majority(by_word), _majority(by_shingle).tobytes()
+
+
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``docs`` with one document, the one of smallest id, of each group of near copies.
+
+    Near copies share about 0.8 or more of their word shingles: 128 bits of SimHash
+    over the shingles are compared. Candidates come from fingerprints of the long
+    words, in which near copies differ by few bits. Groups are closed under chains
+    of links. Texts without words (null, empty, white space) are copies of each
+    other. Rows that repeat an id are separate documents, null ids come first;
+    columns are unchanged and an empty table stays empty.
+    """
+    rows = numbered(docs, id_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [document_prints(t) for t in batch.column("text").to_pylist()]
+            words = np.array([w for w, _ in found], dtype=np.uint64).view(np.int64).reshape(-1, len(CANDIDATE_SEEDS))
+            columns = [batch.column("_row"), *[pa.array(words[:, i].copy()) for i in range(len(CANDIDATE_SEEDS))]]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array([c for _, c in found], pa.binary())], ["_row", *names, "check"]
+            )
+
+    names = [f"fp{i}" for i in range(len(CANDIDATE_SEEDS))]
+    schema = "_row long, " + "".join(f"{n} long, " for n in names) + "check binary"
+    printed = rows.select("_row", text_or_empty().alias("text")).mapInArrow(run, schema)
+    nodes = materialize(printed.groupBy(*names, "check").agg(F.min("_row").alias("id")), "near_copies")
+    stars = connected_components(linked(nodes, tuple(names), MAX_DISTANCE, SIMILAR_BITS))
+    kept = nodes.join(stars, nodes.id == stars.node, "left_anti").select(F.col("id").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

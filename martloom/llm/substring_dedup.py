@@ -240,7 +240,7 @@ def removed_spans(start: np.ndarray, count: np.ndarray, length: int) -> list[tup
 
 
 def substring_dedup(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id"
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", in_text: bool = False
 ) -> DataFrame:
     """``docs`` with ``_octets``, ``_kept`` (bytes before and after) and ``_removed`` (maximal runs cut out).
 
@@ -248,7 +248,9 @@ def substring_dedup(
     a document with a smaller id, or further up in the same one. Rows that repeat an
     id are separate documents and null ids come first. Null texts are empty; texts
     shorter than ``length`` lose nothing. All columns are kept; an empty table stays
-    empty. ``_removed`` is an array of (start, end) in bytes of the input.
+    empty. ``_removed`` is an array of (start, end) in bytes of the input. With
+    ``in_text`` the column ``text`` holds what is left, without characters that were
+    cut apart (null stays null).
     """
     spark = docs.sparkSession
     rows = numbered(docs, id_column)
@@ -425,6 +427,12 @@ def substring_dedup(
             kept.append(b"".join(left))
             removed.append([{"start": a, "end": b} for a, b in spans])
         columns = [batch[c] for c in names]
+        if in_text:
+            texts = [
+                None if t is None else k.decode(errors="ignore")
+                for t, k in zip(batch["text"].to_pylist(), kept, strict=True)
+            ]
+            columns[names.index("text")] = pa.array(texts, pa.string())
         columns += [pa.array(octets, pa.binary()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)]
         return pa.table(dict(zip([*names, "_octets", "_kept", "_removed"], columns, strict=True)))
 
