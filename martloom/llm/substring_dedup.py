@@ -39,11 +39,11 @@ SEGMENT_WINDOWS = 256
 HOT_SEGMENTS = 2000
 # Added to the number of windows of a segment that may repeat itself.
 MAY_REPEAT = 1 << 32
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 # Segments a task collapses before it sends them; text in one group of documents.
-HELD_SEGMENTS = 1_000_000
-GROUP_BYTES = 16 << 20
-BATCH_BYTES = 1 << 20
+HELD_SEGMENTS = 300_000
+GROUP_BYTES = 8 << 20
+BATCH_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -242,7 +242,7 @@ def removed_spans(start: np.ndarray, count: np.ndarray, length: int) -> list[tup
 def substring_dedup(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", in_text: bool = False
 ) -> DataFrame:
-    """``docs`` with ``_octets``, ``_kept`` (bytes before and after) and ``_removed`` (maximal runs cut out).
+    """``docs`` with ``_size`` (in bytes), ``_kept`` (bytes that stay) and ``_removed`` (maximal runs cut out).
 
     A byte goes if a ``length``-byte string that covers it starts earlier too: in
     a document with a smaller id, or further up in the same one. Rows that repeat an
@@ -310,8 +310,8 @@ def substring_dedup(
             where.setdefault(kind, []).append(payload)
         out = []
         if where:
-            found = dict(zip(texts["_row"].to_pylist(), texts["text"].to_pylist(), strict=True))
-            found = {row: text.encode() for row, text in found.items()}
+            octets = texts["text"].cast(pa.binary()).to_pylist()
+            found = dict(zip(texts["_row"].to_pylist(), octets, strict=True))
             if CONTESTED in where:
                 columns = _unpack(where[CONTESTED], "iiii")
                 out += _with_text(columns, found)
@@ -406,16 +406,16 @@ def substring_dedup(
     settled = materialize(settled, "settled")
 
     names = [c for c in docs.columns]
-    extra = "_octets binary, _kept binary, _removed array<struct<start: long, end: long>>"
+    extra = "_size long, _kept binary, _removed array<struct<start: long, end: long>>"
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def apply(batch: pa.Table, packed: pa.Table) -> pa.Table:
         row, start, count = _unpack(packed["payload"].to_pylist(), "iii")
         order = np.argsort(row, kind="stable")
         row, start, count = row[order], start[order], count[order]
-        octets, kept, removed = [], [], []
-        for r, text in zip(batch["_row"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            raw = (text or "").encode()
+        sizes, kept, removed = [], [], []
+        for r, text in zip(batch["_row"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+            raw = text or b""
             low, high = np.searchsorted(row, r), np.searchsorted(row, r, side="right")
             spans = removed_spans(start[low:high], count[low:high], length)
             left, at = [], 0
@@ -423,18 +423,16 @@ def substring_dedup(
                 left.append(raw[at:a])
                 at = b
             left.append(raw[at:])
-            octets.append(raw)
+            sizes.append(len(raw))
             kept.append(b"".join(left))
             removed.append([{"start": a, "end": b} for a, b in spans])
         columns = [batch[c] for c in names]
         if in_text:
-            texts = [
-                None if t is None else k.decode(errors="ignore")
-                for t, k in zip(batch["text"].to_pylist(), kept, strict=True)
-            ]
+            there = batch["text"].is_valid().to_pylist()
+            texts = [k.decode(errors="ignore") if t else None for t, k in zip(there, kept, strict=True)]
             columns[names.index("text")] = pa.array(texts, pa.string())
-        columns += [pa.array(octets, pa.binary()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)]
-        return pa.table(dict(zip([*names, "_octets", "_kept", "_removed"], columns, strict=True)))
+        columns += [pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)]
+        return pa.table(dict(zip([*names, "_size", "_kept", "_removed"], columns, strict=True)))
 
     whole = rows.mapInArrow(grouped, extended(rows.schema, "route int"))
     repeats = met.where(f"kind = {REPEAT}").union(settled)
@@ -446,8 +444,8 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     done = substring_dedup(docs.select("doc_id", "text"), length)
     return done.select(
         "doc_id",
-        F.octet_length("_octets").cast("long").alias("n_bytes"),
-        (F.octet_length("_octets") - F.octet_length("_kept")).cast("long").alias("n_removed"),
+        F.col("_size").alias("n_bytes"),
+        (F.col("_size") - F.octet_length("_kept")).alias("n_removed"),
         F.size("_removed").cast("long").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
