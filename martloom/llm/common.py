@@ -28,9 +28,9 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def numbered(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with a unique, non-null long ``_row`` that orders rows by id.
+    """``docs`` (with a ``text``) with a unique, non-null long ``__row`` that orders rows by id.
 
-    Where the ids are unique and set, ``_row`` is the id. Otherwise rows with
+    Where the ids are unique and set, ``__row`` is the id. Otherwise rows with
     repeated ids are separate documents, ordered by their text's hash; nulls come
     first. That numbering is written once, so that it is the same whenever a lost
     task is run again.
@@ -38,11 +38,11 @@ def numbered(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     ids = docs.select(F.col(id_column).cast("long").alias("id"))
     odd = ids.groupBy("id").count().where("count > 1 OR id IS NULL").limit(1).count()
     if not odd:
-        return docs.withColumn("_row", F.col(id_column).cast("long"))
-    order = [F.col(id_column).asc_nulls_first(), F.xxhash64(*docs.columns)]
+        return docs.withColumn("__row", F.col(id_column).cast("long"))
+    order = [F.col(id_column).asc_nulls_first(), F.xxhash64("text")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return materialize(ranged.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    return materialize(ranged.withColumn("__row", F.monotonically_increasing_id()), "numbered")
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -114,14 +114,20 @@ def train(
     return LanguageModel(languages, np.ascontiguousarray(chosen.T @ weights.astype(np.float32), dtype=np.float32))
 
 
-def classify(docs: DataFrame, model: LanguageModel, columns: list[Column], text_column: str = "text") -> DataFrame:
-    """``columns`` of every row of ``docs``, and ``lang_pred`` and ``score``.
+def classify(
+    docs: DataFrame,
+    model: LanguageModel,
+    columns: list[Column],
+    text_column: str = "text",
+    added: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``columns`` of every row of ``docs``, and the language and its score as columns ``added``.
 
     A score is the language's share of the positive outputs, 0 to 1; of equal
     outputs the first language by name wins. Texts that are null or have no letter
     are ``und`` with score 0, as is everything if nothing was learned.
     """
-    slim = docs.select(*columns, F.col(text_column).alias("_text"))
+    slim = docs.select(*columns, F.col(text_column).alias("__text"))
     names = slim.columns[:-1]
     folded = np.concatenate([model.weights, np.ones((BINS, 1), np.float32)], axis=1)
     languages = model.languages
@@ -131,8 +137,8 @@ def classify(docs: DataFrame, model: LanguageModel, columns: list[Column], text_
 
         letter = regex.compile(r"\p{L}").search
         matrix = np.zeros((ROWS_PER_PRODUCT, BINS), dtype=np.float32)
-        for batch in slices(batches, "_text"):
-            texts = batch.column("_text").to_pylist()
+        for batch in slices(batches, "__text"):
+            texts = batch.column("__text").to_pylist()
             found, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             known = [i for i, t in enumerate(texts) if languages and t and letter(t)]
             for k in range(0, len(known), ROWS_PER_PRODUCT):
@@ -149,10 +155,10 @@ def classify(docs: DataFrame, model: LanguageModel, columns: list[Column], text_
                     found[i] = languages[b]
             kept = [batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(found, pa.string()), pa.array(scores)], [*names, "lang_pred", "score"]
+                [*kept, pa.array(found, pa.string()), pa.array(scores)], [*names, *added]
             )
 
-    return slim.mapInArrow(run, extended(slim.drop("_text").schema, "lang_pred string, score double"))
+    return slim.mapInArrow(run, extended(slim.drop("__text").schema, f"{added[0]} string, {added[1]} double"))
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -169,6 +175,5 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.0) -> DataFrame:
     """Rows of ``docs`` whose language was found with at least ``min_score``; columns unchanged."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = classify(docs, model, columns)
-    flag = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return flag.select(*columns)
+    found = classify(docs, model, columns, added=("__lang", "__score"))
+    return found.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*columns)

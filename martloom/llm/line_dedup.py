@@ -94,7 +94,7 @@ def filled_lines(text: str) -> list[str]:
 
 
 def _sequences(docs: DataFrame) -> DataFrame:
-    """``_row, keys, chars``: 128-bit hashes (16 bytes each) and lengths of the lines that are not blank."""
+    """``__row, keys, chars``: 128-bit hashes (16 bytes each) and lengths of the lines that are not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -106,33 +106,33 @@ def _sequences(docs: DataFrame) -> DataFrame:
                 keys.append(b"".join(xxhash.xxh3_128_digest(line) for line in lines))
                 chars.append(np.array([len(line) for line in lines], dtype="<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(keys, pa.binary()), pa.array(chars, pa.binary())],
-                ["_row", "keys", "chars"],
+                [batch.column("__row"), pa.array(keys, pa.binary()), pa.array(chars, pa.binary())],
+                ["__row", "keys", "chars"],
             )
 
-    return docs.select("_row", text_or_empty().alias("text")).mapInArrow(run, "_row long, keys binary, chars binary")
+    return docs.select("__row", text_or_empty().alias("text")).mapInArrow(run, "__row long, keys binary, chars binary")
 
 
 def _line_keys(sequences: DataFrame) -> DataFrame:
-    """``key, _row``: the first half of each line's hash, once per document."""
+    """``key, __row``: the first half of each line's hash, once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             halves = [np.unique(np.frombuffer(k, dtype="<i8")[::2]) for k in batch.column("keys").to_pylist()]
             if halves:
-                rows = np.repeat(batch.column("_row").to_numpy(), [len(h) for h in halves])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(halves)), pa.array(rows)], ["key", "_row"])
+                rows = np.repeat(batch.column("__row").to_numpy(), [len(h) for h in halves])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(halves)), pa.array(rows)], ["key", "__row"])
 
-    return sequences.select("_row", "keys").mapInArrow(run, "key long, _row long")
+    return sequences.select("__row", "keys").mapInArrow(run, "key long, __row long")
 
 
 def _aligned(pairs: DataFrame, min_chars: int) -> DataFrame:
-    """``_row, spans``: runs of lines (start, end; 4 bytes each) that the later document of a pair loses."""
+    """``__row, spans``: runs of lines (start, end; 4 bytes each) that the later document of a pair loses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, spans = [], []
-            columns = [batch.column(c).to_pylist() for c in ("_row", "first_keys", "keys", "chars")]
+            columns = [batch.column(c).to_pylist() for c in ("__row", "first_keys", "keys", "chars")]
             for row, first, own, chars in zip(*columns, strict=True):
                 number: dict[bytes, int] = {}
                 a, b = (
@@ -144,9 +144,9 @@ def _aligned(pairs: DataFrame, min_chars: int) -> DataFrame:
                 if found:
                     rows.append(row)
                     spans.append(np.array(found, dtype="<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(spans, pa.binary())], ["_row", "spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(spans, pa.binary())], ["__row", "spans"])
 
-    return pairs.mapInArrow(run, "_row long, spans binary")
+    return pairs.mapInArrow(run, "__row long, spans binary")
 
 
 def without_spans(text: str, spans: list[bytes]) -> tuple[str, int, int]:
@@ -163,7 +163,7 @@ def without_spans(text: str, spans: list[bytes]) -> tuple[str, int, int]:
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_BLOCK_CHARS, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with ``text`` cleared of lines that an earlier document has, and ``n_lines, n_removed``.
+    """``docs`` with ``text`` cleared of lines that an earlier document has, and ``__n_lines, __n_removed``.
 
     Earlier is the smaller id; rows that repeat an id are separate documents, and
     null ids come first. Lines are compared without surrounding white space and
@@ -173,27 +173,27 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_BLOCK_CHARS, id_column: str
     rows = numbered(docs, id_column)
     sequences = materialize(_sequences(rows), "line_sequences")
     lines = _line_keys(sequences)
-    holders = lines.groupBy("key").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = lines.join(holders, "key").where("first <> _row").select("first", "_row").distinct()
-    both = pairs.join(sequences, "_row").join(
-        sequences.select(F.col("_row").alias("first"), F.col("keys").alias("first_keys")), "first"
+    holders = lines.groupBy("key").agg(F.min("__row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = lines.join(holders, "key").where("first <> __row").select("first", "__row").distinct()
+    both = pairs.join(sequences, "__row").join(
+        sequences.select(F.col("__row").alias("first"), F.col("keys").alias("first_keys")), "first"
     )
-    spans = _aligned(both.select("_row", "first_keys", "keys", "chars"), min_chars)
-    spans = spans.groupBy("_row").agg(F.collect_list("spans").alias("_spans"))
+    spans = _aligned(both.select("__row", "first_keys", "keys", "chars"), min_chars)
+    spans = spans.groupBy("__row").agg(F.collect_list("spans").alias("__spans"))
 
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts, counts, removed = [], [], []
-            for text, own in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for text, own in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
                 left, n, gone = without_spans(text or "", own or [])
                 texts.append(left if text is not None else None)
                 counts.append(n)
                 removed.append(gone)
             columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
             columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_removed"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, "__n_lines", "__n_removed"])
 
-    joined = rows.join(spans, "_row", "left").select(*[F.col(f"`{c}`") for c in names], "_spans")
-    return joined.mapInArrow(cut, extended(docs.schema, "n_lines long, n_removed long"))
+    joined = rows.join(spans, "__row", "left").select(*[F.col(f"`{c}`") for c in names], "__spans")
+    return joined.mapInArrow(cut, extended(docs.schema, "__n_lines long, __n_removed long"))

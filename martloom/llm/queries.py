@@ -48,7 +48,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return cleaned.select(
+        "doc_id",
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -301,15 +301,15 @@ def drop_near_copies(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
         for batch in slices(batches, "text"):
             found = [document_prints(t) for t in batch.column("text").to_pylist()]
             words = np.array([w for w, _ in found], dtype=np.uint64).view(np.int64).reshape(-1, len(CANDIDATE_SEEDS))
-            columns = [batch.column("_row"), *[pa.array(words[:, i].copy()) for i in range(len(CANDIDATE_SEEDS))]]
+            columns = [batch.column("__row"), *[pa.array(words[:, i].copy()) for i in range(len(CANDIDATE_SEEDS))]]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([c for _, c in found], pa.binary())], ["_row", *names, "check"]
+                [*columns, pa.array([c for _, c in found], pa.binary())], ["__row", *names, "check"]
             )
 
     names = [f"fp{i}" for i in range(len(CANDIDATE_SEEDS))]
-    schema = "_row long, " + "".join(f"{n} long, " for n in names) + "check binary"
-    printed = rows.select("_row", text_or_empty().alias("text")).mapInArrow(run, schema)
-    nodes = materialize(printed.groupBy(*names, "check").agg(F.min("_row").alias("id")), "near_copies")
+    schema = "__row long, " + "".join(f"{n} long, " for n in names) + "check binary"
+    printed = rows.select("__row", text_or_empty().alias("text")).mapInArrow(run, schema)
+    nodes = materialize(printed.groupBy(*names, "check").agg(F.min("__row").alias("id")), "near_copies")
     stars = connected_components(linked(nodes, tuple(names), MAX_DISTANCE, SIMILAR_BITS))
-    kept = nodes.join(stars, nodes.id == stars.node, "left_anti").select(F.col("id").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = nodes.join(stars, nodes.id == stars.node, "left_anti").select(F.col("id").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -242,13 +242,13 @@ def removed_spans(start: np.ndarray, count: np.ndarray, length: int) -> list[tup
 def substring_dedup(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", in_text: bool = False
 ) -> DataFrame:
-    """``docs`` with ``_size`` (in bytes), ``_kept`` (bytes that stay) and ``_removed`` (maximal runs cut out).
+    """``docs`` with ``__size`` (in bytes), ``__kept`` (bytes that stay) and ``__removed`` (maximal runs cut out).
 
     A byte goes if a ``length``-byte string that covers it starts earlier too: in
     a document with a smaller id, or further up in the same one. Rows that repeat an
     id are separate documents and null ids come first. Null texts are empty; texts
     shorter than ``length`` lose nothing. All columns are kept; an empty table stays
-    empty. ``_removed`` is an array of (start, end) in bytes of the input. With
+    empty. ``__removed`` is an array of (start, end) in bytes of the input. With
     ``in_text`` the column ``text`` holds what is left, without characters that were
     cut apart (null stays null).
     """
@@ -271,7 +271,7 @@ def substring_dedup(
 
         for batch in slices(batches, "text", BATCH_BYTES):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
-            found = segments(texts, batch.column("_row").to_numpy(), length, gram)
+            found = segments(texts, batch.column("__row").to_numpy(), length, gram)
             if len(found[0]):
                 held.append(found)
             if sum(len(h[0]) for h in held) > HELD_SEGMENTS:
@@ -311,7 +311,7 @@ def substring_dedup(
         out = []
         if where:
             octets = texts["text"].cast(pa.binary()).to_pylist()
-            found = dict(zip(texts["_row"].to_pylist(), octets, strict=True))
+            found = dict(zip(texts["__row"].to_pylist(), octets, strict=True))
             if CONTESTED in where:
                 columns = _unpack(where[CONTESTED], "iiii")
                 out += _with_text(columns, found)
@@ -389,24 +389,24 @@ def substring_dedup(
             runs = _runs(*repeated_windows(shard, length))
             yield _batch(list(_dealt(REPEAT, runs, _routed(runs[0], groups))))
 
-    texts = rows.select("_row", text_or_empty().alias("text"))
+    texts = rows.select("__row", text_or_empty().alias("text"))
     met = texts.mapInArrow(cut, PACKED).repartition(parts, "route", "kind").mapInArrow(meet, PACKED)
     met = materialize(met, "segments")
     # Groups of documents by the same hash as the packed rows: found in Python once, then a plain column.
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            route = _routed(batch.column("_row").to_numpy(zero_copy_only=False), groups)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(route)], [*batch.schema.names, "route"])
+            route = _routed(batch.column("__row").to_numpy(zero_copy_only=False), groups)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(route)], [*batch.schema.names, "__route"])
 
-    dealt = texts.mapInArrow(grouped, "_row long, text string, route int")
+    dealt = texts.mapInArrow(grouped, "__row long, text string, __route int")
     contested = met.where(f"kind IN ({CONTESTED}, {HOT})")
-    fetched = dealt.groupBy("route").cogroup(contested.groupBy("route")).applyInArrow(fetch, PACKED)
+    fetched = dealt.groupBy("__route").cogroup(contested.groupBy("route")).applyInArrow(fetch, PACKED)
     settled = fetched.repartition(parts, "route", "kind").mapInArrow(settle, PACKED)
     settled = materialize(settled, "settled")
 
     names = [c for c in docs.columns]
-    extra = "_size long, _kept binary, _removed array<struct<start: long, end: long>>"
+    extra = "__size long, __kept binary, __removed array<struct<start: long, end: long>>"
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def apply(batch: pa.Table, packed: pa.Table) -> pa.Table:
@@ -414,7 +414,7 @@ def substring_dedup(
         order = np.argsort(row, kind="stable")
         row, start, count = row[order], start[order], count[order]
         sizes, kept, removed = [], [], []
-        for r, text in zip(batch["_row"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+        for r, text in zip(batch["__row"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
             raw = text or b""
             low, high = np.searchsorted(row, r), np.searchsorted(row, r, side="right")
             spans = removed_spans(start[low:high], count[low:high], length)
@@ -432,11 +432,11 @@ def substring_dedup(
             texts = [k.decode(errors="ignore") if t else None for t, k in zip(there, kept, strict=True)]
             columns[names.index("text")] = pa.array(texts, pa.string())
         columns += [pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)]
-        return pa.table(dict(zip([*names, "_size", "_kept", "_removed"], columns, strict=True)))
+        return pa.table(dict(zip([*names, "__size", "__kept", "__removed"], columns, strict=True)))
 
-    whole = rows.mapInArrow(grouped, extended(rows.schema, "route int"))
+    whole = rows.mapInArrow(grouped, extended(rows.schema, "__route int"))
     repeats = met.where(f"kind = {REPEAT}").union(settled)
-    return whole.groupBy("route").cogroup(repeats.groupBy("route")).applyInArrow(apply, extended(docs.schema, extra))
+    return whole.groupBy("__route").cogroup(repeats.groupBy("route")).applyInArrow(apply, extended(docs.schema, extra))
 
 
 def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -444,8 +444,8 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     done = substring_dedup(docs.select("doc_id", "text"), length)
     return done.select(
         "doc_id",
-        F.col("_size").alias("n_bytes"),
-        (F.col("_size") - F.octet_length("_kept")).alias("n_removed"),
-        F.size("_removed").cast("long").alias("n_spans"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        F.col("__size").alias("n_bytes"),
+        (F.col("__size") - F.octet_length("__kept")).alias("n_removed"),
+        F.size("__removed").cast("long").alias("n_spans"),
+        F.sha2("__kept", 256).alias("kept_sha256"),
     )
