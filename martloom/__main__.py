@@ -5,26 +5,37 @@
     marketing  --zone <folder> --as-of 2025-10-22 --mart <folder>
     publish    --mart <sales folder> --marketing-mart <marketing folder>
 
-``extract`` reads the tables of a database of the session. With ``--jdbc-url`` it
-reads the raw tables from that schema of a relational database instead, each in
-``--partitions`` ranges of a key. Storage endpoints and credentials come from the
-Spark configuration.
+``extract`` reads all tables of a database of the session. With ``--jdbc-url`` it
+reads all base tables of that schema of a relational database instead, in ranges
+of a key. The database's user, password and driver come from
+``spark.martloom.jdbc.user``, ``.password`` and ``.driver``, or from
+``MARTLOOM_JDBC_USER``, ``_PASSWORD`` and ``_DRIVER``. It ends with 1 if a table failed.
+
+``sales`` and ``marketing`` look at the zone first and name every table that is
+missing or was not written to its end. Beside the mart they leave ``_load_report``:
+rows and nulls of each column they read.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
+from collections.abc import Mapping
+from dataclasses import fields
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martloom.functions.labels import SegmentThresholds
 from martloom.plans.extract import extract_snapshot
 from martloom.plans.marts import MARKETING_INPUTS, SALES_INPUTS, build_marketing_mart, build_sales_mart
-from martloom.schemas import MARKETING_MART, RAW_SCHEMAS, SALES_MART
+from martloom.plans.shared import release_shared
+from martloom.schemas import MARKETING_MART, SALES_MART
 from martloom.sinks import publish
-from martloom.sources.readers import load_snapshot, read_jdbc_split
-from martloom.sources.snapshots import expected_paths, list_tables, resolve_snapshot
+from martloom.sources.readers import list_jdbc_tables, load_snapshot, null_report, read_jdbc_split
+from martloom.sources.snapshots import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, find_snapshot, list_tables
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -35,11 +46,30 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     extract.add_argument("--database", required=True)
     extract.add_argument("--keep-older", action="store_true")
     extract.add_argument("--jdbc-url")
-    extract.add_argument("--partitions", type=int, default=200)
-    for name in ("sales", "marketing"):
-        mart = jobs.add_parser(name, help=f"build the {name} mart from a snapshot")
-        mart.add_argument("--mart", required=True, help="folder of the mart tables")
-    for job in (extract, jobs.choices["sales"], jobs.choices["marketing"]):
+    extract.add_argument("--partitions", type=int, default=10_000, help="most ranges of one database table")
+    extract.add_argument("--rows-per-partition", type=int, default=1_000_000)
+    extract.add_argument("--file-format", choices=("csv", "parquet"), default="csv")
+    extract.add_argument("--first-day", type=date.fromisoformat, default=CALENDAR_FIRST_DAY)
+    extract.add_argument("--last-day", type=date.fromisoformat, default=CALENDAR_LAST_DAY)
+
+    sales = jobs.add_parser("sales", help="build the sales mart from a snapshot")
+    sales.add_argument("--week-rule", choices=("shifted_iso", "sunday"), default="shifted_iso")
+    sales.add_argument("--pre-aggregate", action="store_true", help="sum sales and stock before they meet")
+    sales.add_argument("--match-week-start", action="store_true", help="match returns by the week's first day too")
+
+    marketing = jobs.add_parser("marketing", help="build the marketing mart from a snapshot")
+    marketing.add_argument("--churn-days", type=int, default=300)
+    marketing.add_argument("--partition-daily-by-year", action="store_true")
+    marketing.add_argument("--order-key", nargs="+", default=["order_number"])
+    for limit in fields(SegmentThresholds):
+        marketing.add_argument(
+            f"--{limit.name.replace('_', '-')}", type=type(limit.default), default=limit.default
+        )
+
+    for job in (sales, marketing):
+        job.add_argument("--mart", required=True, help="folder of the mart tables")
+        job.add_argument("--max-null-keys", type=int, help="fail if a key column of the snapshot has more nulls")
+    for job in (extract, sales, marketing):
         job.add_argument("--zone", required=True, help="folder of the raw snapshots")
         job.add_argument("--as-of", required=True, type=date.fromisoformat)
 
@@ -49,32 +79,63 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _sources(spark: SparkSession, args: argparse.Namespace) -> dict:
+    if not args.jdbc_url:
+        names = list_tables(spark, args.database)
+        return {name: partial(spark.table, f"{args.database}.{name}") for name in names}
+    names = list_jdbc_tables(spark, args.jdbc_url, args.database)
+    read = partial(read_jdbc_split, spark, args.jdbc_url)
+    return {n: partial(read, f"{args.database}.{n}", args.partitions, args.rows_per_partition) for n in names}
+
+
+def _load_report(raw: Mapping[str, DataFrame], mart: str, max_null_keys: int | None) -> None:
+    """Write rows and nulls of every raw column beside the mart; stop on too many nulls in a first key."""
+    parts = [null_report(df).withColumn("table_name", F.lit(name)) for name, df in raw.items()]
+    path = f"{mart.rstrip('/')}/_load_report"
+    reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(path)
+    if max_null_keys is not None:
+        spark = parts[0].sparkSession
+        first_keys = F.col("column").isin([next(c for c in df.columns if c.endswith("_sk")) for df in raw.values()])
+        lost = spark.read.parquet(path).where(first_keys & (F.col("nulls") > max_null_keys)).collect()
+        if lost:
+            told = ", ".join(f"{r.table_name}.{r.column}: {r.nulls} of {r.rows}" for r in lost)
+            raise ValueError(f"more than {max_null_keys} null keys: {told}")
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Run a job; 0, or 1 if a table of an extract failed."""
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"martloom-{args.job}").getOrCreate()
     if args.job == "extract":
-        if args.jdbc_url:
-            tables = {
-                name: partial(
-                    read_jdbc_split, spark, args.jdbc_url, f"{args.database}.{name}", args.partitions
-                )
-                for name in RAW_SCHEMAS
-            }
-        else:
-            names = list_tables(spark, args.database)
-            tables = {name: partial(spark.table, f"{args.database}.{name}") for name in names}
-        extract_snapshot(spark, tables, args.as_of, args.zone, args.keep_older).show(truncate=False)
-    elif args.job == "publish":
+        report = extract_snapshot(
+            spark,
+            _sources(spark, args),
+            args.as_of,
+            args.zone,
+            args.keep_older,
+            args.file_format,
+            args.first_day,
+            args.last_day,
+        )
+        report.show(1000, truncate=False)
+        return int(report.where("status <> 'exported'").count() > 0)
+    if args.job == "publish":
         publish(spark, args.mart, SALES_MART, as_tables=True)
         publish(spark, args.marketing_mart, MARKETING_MART, as_tables=True)
+        return 0
+    inputs = SALES_INPUTS if args.job == "sales" else MARKETING_INPUTS
+    raw = load_snapshot(spark, find_snapshot(spark, args.zone, inputs, args.as_of), inputs)
+    _load_report(raw, args.mart, args.max_null_keys)
+    if args.job == "sales":
+        build_sales_mart(raw, args.mart, args.week_rule, args.pre_aggregate, args.match_week_start)
     else:
-        inputs, build = {
-            "sales": (SALES_INPUTS, build_sales_mart),
-            "marketing": (MARKETING_INPUTS, build_marketing_mart),
-        }[args.job]
-        paths = resolve_snapshot(expected_paths(args.zone, args.as_of, inputs), inputs, args.as_of)
-        build(load_snapshot(spark, paths), args.mart)
+        limits = SegmentThresholds(**{f.name: getattr(args, f.name) for f in fields(SegmentThresholds)})
+        build_marketing_mart(
+            raw, args.mart, limits, args.churn_days, args.partition_daily_by_year, tuple(args.order_key)
+        )
+    release_shared(spark)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

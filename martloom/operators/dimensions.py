@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from martloom.schemas import RAW_SCHEMAS
+
 _LABELS = ("recency_segment", "frequency_segment", "monetary_segment", "customer_segment")
 
 
 def _unprefixed(
-    df: DataFrame, prefix: str, without: tuple[str, ...] = (), rename: dict[str, str] | None = None
+    table: str, prefix: str, without: tuple[str, ...] = (), rename: dict[str, str] | None = None
 ) -> list[str]:
-    """Columns of a raw table under their names without the table prefix."""
+    """Documented columns of a raw table, and no others, under their names without the table prefix."""
     renamed = rename or {}
-    names = [c.removeprefix(prefix) for c in df.columns]
+    names = [c.removeprefix(prefix) for c in RAW_SCHEMAS[table].names]
     return [f"{prefix}{n} AS `{renamed.get(n, n)}`" for n in names if n not in without]
 
 
 def dim_item(item: DataFrame) -> DataFrame:
-    return item.selectExpr(*_unprefixed(item, "i_"))
+    return item.selectExpr(*_unprefixed("item", "i_"))
 
 
 def dim_warehouse(warehouse: DataFrame) -> DataFrame:
-    return warehouse.selectExpr(*_unprefixed(warehouse, "w_"))
+    return warehouse.selectExpr(*_unprefixed("warehouse", "w_"))
 
 
 def dim_customer(
@@ -54,7 +56,7 @@ def dim_customer(
     )
     columns = [
         *_unprefixed(
-            customer,
+            "customer",
             "c_",
             without=(
                 "current_cdemo_sk",
@@ -66,21 +68,21 @@ def dim_customer(
                 "last_review_date",
             ),
         ),
-        *_unprefixed(customer_address, "ca_", without=("address_sk", "address_id")),
+        *_unprefixed("customer_address", "ca_", without=("address_sk", "address_id")),
         *_unprefixed(
-            customer_demographics,
+            "customer_demographics",
             "cd_",
             without=("demo_sk",),
             rename={"dep_count": "customer_dep_count"},
         ),
         *_unprefixed(
-            household_demographics,
+            "household_demographics",
             "hd_",
             without=("demo_sk", "income_band_sk"),
             rename={"dep_count": "household_dep_count"},
         ),
         *_unprefixed(
-            income_band,
+            "income_band",
             "ib_",
             without=("income_band_sk",),
             rename={"lower_bound": "income_lower_bound", "upper_bound": "income_upper_bound"},

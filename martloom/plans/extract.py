@@ -1,4 +1,4 @@
-"""The daily extract: every table as known on a day, as dated CSV."""
+"""The daily extract: every table as known on a day, as dated CSV or another format."""
 
 from __future__ import annotations
 
@@ -8,7 +8,13 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.sinks import clear_zone, export_raw
-from martloom.sources.snapshots import as_of_filter, as_of_key, calendar_range
+from martloom.sources.snapshots import (
+    CALENDAR_FIRST_DAY,
+    CALENDAR_LAST_DAY,
+    as_of_filter,
+    as_of_key,
+    calendar_range,
+)
 
 # A table, or how to open it: opening then fails for that table alone.
 Source = DataFrame | Callable[[], DataFrame]
@@ -20,20 +26,33 @@ def _open(source: Source) -> DataFrame:
     return source if isinstance(source, DataFrame) else source()
 
 
-def snapshot_rows(name: str, table: DataFrame, as_of_sk: int) -> DataFrame:
+def snapshot_rows(
+    name: str,
+    table: DataFrame,
+    as_of_sk: int,
+    first_day: date = CALENDAR_FIRST_DAY,
+    last_day: date = CALENDAR_LAST_DAY,
+) -> DataFrame:
     """Rows of one table that go into the snapshot; the calendar has its own day range."""
-    return calendar_range(table) if name == "date_dim" else as_of_filter(table, as_of_sk)
+    return calendar_range(table, first_day, last_day) if name == "date_dim" else as_of_filter(table, as_of_sk)
 
 
 def export_all(
-    spark: SparkSession, tables: Mapping[str, Source], zone: str, as_of: date, as_of_sk: int
+    spark: SparkSession,
+    tables: Mapping[str, Source],
+    zone: str,
+    as_of: date,
+    as_of_sk: int,
+    file_format: str = "csv",
+    first_day: date = CALENDAR_FIRST_DAY,
+    last_day: date = CALENDAR_LAST_DAY,
 ) -> DataFrame:
-    """Export each table; one that fails is reported and the others go on."""
+    """Export each table; one that fails is reported, leaves nothing behind, and the others go on."""
     report = []
     for name, source in tables.items():
         try:
-            rows = export_raw(snapshot_rows(name, _open(source), as_of_sk), zone, name, as_of)
-            report.append((name, rows, "exported", None))
+            table = snapshot_rows(name, _open(source), as_of_sk, first_day, last_day)
+            report.append((name, export_raw(table, zone, name, as_of, file_format), "exported", None))
         except Exception as problem:  # any failure concerns this table alone
             report.append((name, None, "failed", str(problem)))
     return spark.createDataFrame(report, _REPORT)
@@ -45,6 +64,9 @@ def extract_snapshot(
     as_of: date,
     zone: str,
     keep_older: bool = False,
+    file_format: str = "csv",
+    first_day: date = CALENDAR_FIRST_DAY,
+    last_day: date = CALENDAR_LAST_DAY,
 ) -> DataFrame:
     """Write the snapshot of a day and report rows and status of each table.
 
@@ -53,8 +75,10 @@ def extract_snapshot(
         as_of: the day; an error if the calendar lacks it, before anything is deleted.
         zone: folder that holds nothing but raw snapshots.
         keep_older: leave earlier snapshots in the zone instead of emptying it.
+        file_format: ``csv``, or ``parquet``, from which readers take single columns.
+        first_day, last_day: range of the exported calendar.
     """
     as_of_sk = as_of_key(_open(tables["date_dim"]), as_of)
     if not keep_older:
         clear_zone(spark, zone)
-    return export_all(spark, tables, zone, as_of, as_of_sk)
+    return export_all(spark, tables, zone, as_of, as_of_sk, file_format, first_day, last_day)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -10,7 +10,7 @@ from martloom.functions.labels import SegmentThresholds
 from martloom.operators import customers, dimensions, returns, sales
 from martloom.operators.calendar import week_calendar
 from martloom.plans.shared import shared
-from martloom.plans.sizing import MAX_CALENDAR_DAYS, broadcast_within
+from martloom.plans.sizing import joined_days
 from martloom.sinks import write_mart
 from martloom.sources.readers import read_mart
 
@@ -71,7 +71,7 @@ def build_sales_mart(
     )
 
     # Counting and broadcasting the table just written spares reading the raw calendar again.
-    calendar = broadcast_within(read_mart(days.sparkSession, base, "dim_date"), MAX_CALENDAR_DAYS)
+    calendar = joined_days(read_mart(days.sparkSession, base, "dim_date"))
     lines = sales.combined_daily_sales(raw["catalog_sales"], raw["web_sales"])
     fact = sales.weekly_sales_inventory(lines, raw["inventory"], calendar, pre_aggregate)
     with shared(fact, "weekly_sales_inventory") as weekly:
@@ -99,27 +99,33 @@ def build_marketing_mart(
     limits: SegmentThresholds = SegmentThresholds(),
     churn_days: int = 300,
     partition_daily_by_year: bool = False,
+    order_key: Sequence[str] = ("order_number",),
 ) -> None:
     """Write the three marketing tables under ``base``.
 
-    All customer reports come from one pass over the sales.
+    The raw sales are read once: their valid lines, ten columns wide, are written to
+    the shared folder, and both the daily fact and the customer reports start there.
 
     Args:
+        order_key: columns that tell orders apart.
         partition_daily_by_year: lay the daily fact out by ``sold_yr_num`` so that
             readers of a year skip the others.
     """
     with shared(week_calendar(raw["date_dim"]), "calendar") as days:
-        calendar = broadcast_within(days, MAX_CALENDAR_DAYS)
-        lines = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
-        write_mart(
-            sales.fact_sales_daily(lines, calendar),
-            base,
-            "fact_sales_marketing_daily",
-            partition_by=("sold_yr_num",) if partition_daily_by_year else (),
-        )
-        per_customer = customers.customer_activity(sales.sales_with_date(lines, calendar))
-        with shared(per_customer, "customer_activity") as activity:
-            _write_customer_reports(raw, base, activity, limits, churn_days)
+        calendar = joined_days(days)
+        valid = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
+        with shared(valid, "sales_lines") as lines:
+            write_mart(
+                sales.fact_sales_daily(lines, calendar),
+                base,
+                "fact_sales_marketing_daily",
+                partition_by=("sold_yr_num",) if partition_daily_by_year else (),
+            )
+            per_customer = customers.customer_activity(
+                sales.sales_with_date(lines, calendar), order_key=order_key
+            )
+            with shared(per_customer, "customer_activity") as activity:
+                _write_customer_reports(raw, base, activity, limits, churn_days)
 
 
 def _write_customer_reports(

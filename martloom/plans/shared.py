@@ -1,12 +1,14 @@
 """Frames that several reports read: written once to shared storage.
 
 A written table survives the loss of executors, is pruned by column like any
-other, and gives Spark real sizes to plan with.
+other, and gives Spark real sizes to plan with. What ``materialize`` writes
+belongs to the session: ``release_shared`` deletes it, at the latest when the
+driver's interpreter ends. Needs a classic session.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -14,24 +16,35 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.sources import storage
+
+_WRITTEN: list[str] = []
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
 
-    Without that setting a local session gets a temporary folder; on a cluster,
-    where the executors could not see it, this is an error.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; without it, one in the warehouse, which is shared as well."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="martloom-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/martloom/{name}-{uuid4().hex}"
+    """A new path in the shared folder, deleted with the session's other tables."""
+    path = f"{shared_folder(spark)}/martloom/{name}-{uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def release_shared(spark: SparkSession) -> None:
+    """Delete what this session left in the shared folder; frames that read it are then of no use."""
+    while _WRITTEN:
+        storage.delete(spark, _WRITTEN.pop())
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release_shared(spark)
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -51,11 +64,6 @@ def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return table, seen.get["rows"]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 @contextmanager
 def shared(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``materialize`` for the length of a ``with`` block; the table is deleted after it."""
@@ -64,4 +72,5 @@ def shared(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield _written(df, path)
     finally:
-        _delete(spark, path)
+        storage.delete(spark, path)
+        _WRITTEN.remove(path)

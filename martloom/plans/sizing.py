@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.calendar import week_calendar
-from martloom.plans.shared import materialize_counted
+from martloom.plans.shared import materialize
 
 # About 400 years of days, a dozen megabytes of week attributes.
 MAX_CALENDAR_DAYS = 150_000
@@ -21,11 +21,22 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def joined_days(days: DataFrame) -> DataFrame:
+    """A stored week calendar, ready for facts to look up.
+
+    Rows and different keys are counted in one pass. Facts are joined after they
+    were summed, so a day key that occurs twice would repeat finished rows: an error.
+    """
+    rows, keys = days.agg(F.count(F.lit(1)), F.count_distinct("date_sk")).first()
+    if rows != keys:
+        raise ValueError(f"the calendar has {rows} days but {keys} different day keys")
+    return F.broadcast(days) if rows <= MAX_CALENDAR_DAYS else days
+
+
 def checked_calendar(date_dim: DataFrame, week_rule: str = "shifted_iso") -> DataFrame:
     """Week calendar that facts can look up without being shuffled.
 
-    It is written once and counted on the way, so the broadcast reads a small
-    file and the calendar is not derived again.
+    It is written once, so that counting and broadcasting it read a small file and
+    the calendar is not derived again.
     """
-    days, rows = materialize_counted(week_calendar(date_dim, week_rule), "calendar")
-    return F.broadcast(days) if rows <= MAX_CALENDAR_DAYS else days
+    return joined_days(materialize(week_calendar(date_dim, week_rule), "calendar"))

@@ -1,4 +1,4 @@
-"""Raw CSV export, mart Parquet tables and their SQL names."""
+"""Raw exports, mart Parquet tables and their SQL names."""
 
 from __future__ import annotations
 
@@ -9,48 +9,76 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.ratios import decimals_to_double
-from martloom.sources.readers import read_mart
+from martloom.sources import storage
+from martloom.sources.readers import CSV_FORMAT, escaped_lines
 from martloom.sources.snapshots import snapshot_path
 
+STAGING = "_staging"
 
-def export_raw(df: DataFrame, zone: str, name: str, as_of: date) -> int:
-    """Write one dated CSV table and return its row count, counted while writing."""
+
+def export_raw(df: DataFrame, zone: str, name: str, as_of: date, file_format: str = "csv") -> int:
+    """Write one dated table and return its row count, counted while writing.
+
+    The table is written aside and moved to its place when complete, so a failure
+    leaves nothing that could be read, and an earlier export of that day in place.
+    CSV keeps text as it is: blanks, quotes, empty text and null, and line breaks in
+    an escaped form, so that files stay splittable.
+    """
+    spark = df.sparkSession
+    target = snapshot_path(zone, name, as_of, file_format)
+    staged = f"{zone.rstrip('/')}/{STAGING}/{target.rsplit('/', 1)[-1]}"
     written = Observation()
-    (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("header", True)
-        .csv(snapshot_path(zone, name, as_of))
-    )
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    try:
+        if file_format == "csv":
+            counted = counted.select([escaped_lines(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
+            counted.write.mode("overwrite").option("header", True).options(**CSV_FORMAT).csv(staged)
+        else:
+            counted.write.mode("overwrite").format(file_format).save(staged)
+    except Exception:
+        storage.delete(spark, staged)
+        raise
+    storage.replace(spark, staged, target)
     return written.get["rows"]
 
 
 def clear_zone(spark: SparkSession, zone: str) -> None:
-    """Empty the raw zone, older snapshots included, by overwriting it with no rows."""
-    spark.createDataFrame([], "nothing string").write.mode("overwrite").csv(zone)
+    """Empty the raw zone, older snapshots included."""
+    for name in storage.children(spark, zone):
+        storage.delete(spark, f"{zone.rstrip('/')}/{name}")
 
 
 def write_mart(df: DataFrame, base: str, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace one mart table. Exact decimal measures are published as doubles."""
-    writer = decimals_to_double(df).write.mode("overwrite")
+    """Replace one mart table. Exact decimal measures are published as doubles.
+
+    With ``partition_by`` rows meet by those columns first, in evenly sized tasks, so
+    that a value's rows go to a few files and not one per task.
+    """
+    frame = decimals_to_double(df)
+    if partition_by:
+        frame = frame.hint("rebalance", *partition_by)
+    writer = frame.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{base}/{name}")
 
 
 def publish(spark: SparkSession, base: str, names: Iterable[str], as_tables: bool = False) -> list[str]:
-    """Make mart tables available to SQL as ``<name>_table``.
+    """Make mart tables available to SQL as ``<name>_table``; no row is copied.
 
     Args:
-        as_tables: copy into catalog tables that outlive the session; views otherwise.
+        as_tables: catalog tables over the mart's files, which outlive the session;
+            views otherwise. Publishing again replaces the entry, not the files.
     """
     published = []
     for name in names:
-        table = f"{name}_table"
-        mart = read_mart(spark, base, name)
+        table, path = f"{name}_table", f"{base}/{name}"
         if as_tables:
-            mart.write.mode("overwrite").saveAsTable(table)
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            spark.catalog.createTable(table, path=path, source="parquet")
+            if any("=" in child for child in storage.children(spark, path)):
+                spark.catalog.recoverPartitions(table)
         else:
-            mart.createOrReplaceTempView(table)
+            spark.read.parquet(path).createOrReplaceTempView(table)
         published.append(table)
     return published

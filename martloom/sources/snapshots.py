@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.schemas import RAW_SCHEMAS
+from martloom.sources import storage
 
 # A day key whose name has one of these parts must be set.
 REQUIRED_DATE_PARTS = ("sold", "open", "start", "creation", "return")
@@ -82,14 +83,28 @@ def calendar_range(
     return date_dim.where(F.col("d_date").between(F.lit(first), F.lit(last)))
 
 
-def snapshot_path(zone: str, name: str, as_of: date) -> str:
+def snapshot_path(zone: str, name: str, as_of: date, file_format: str = "csv") -> str:
     """Where a table of a day's snapshot is written."""
-    return f"{zone.rstrip('/')}/{name}_{as_of.isoformat()}.csv"
+    return f"{zone.rstrip('/')}/{name}_{as_of.isoformat()}.{file_format}"
 
 
-def expected_paths(zone: str, as_of: date, names: Iterable[str] = RAW_SCHEMAS) -> list[str]:
-    """Paths of a complete snapshot."""
-    return [snapshot_path(zone, name, as_of) for name in names]
+def expected_paths(zone: str, as_of: date, names: Iterable[str] = RAW_SCHEMAS, file_format: str = "csv") -> list[str]:
+    """Paths of a complete snapshot, whether they are there or not."""
+    return [snapshot_path(zone, name, as_of, file_format) for name in names]
+
+
+def find_snapshot(
+    spark: SparkSession, zone: str, required: Iterable[str] = RAW_SCHEMAS, as_of: date | None = None
+) -> dict[str, str]:
+    """Paths of the tables of a snapshot that are in the zone, each a completed write.
+
+    An error names all required tables that are missing or unfinished; see
+    ``resolve_snapshot``.
+    """
+    zone = zone.rstrip("/")
+    names = [n for n in storage.children(spark, zone) if _SNAPSHOT.match(n.split(".")[0])]
+    complete = [f"{zone}/{n}" for n in names if storage.is_complete(spark, f"{zone}/{n}")]
+    return resolve_snapshot(complete, required, as_of)
 
 
 def resolve_snapshot(

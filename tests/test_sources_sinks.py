@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom import sinks
+from martloom.__main__ import main
 from martloom.plans.extract import export_all, extract_snapshot
 from martloom.schemas import RAW_SCHEMAS
 from martloom.sources import readers, snapshots
@@ -105,13 +106,68 @@ def _write(path, text):
 def test_keys_become_longs_and_bad_cells_null(spark, tmp_path):
     file = _write(
         tmp_path / "inventory.csv",
-        "inv_date_sk,inv_item_sk,inv_warehouse_sk,inv_quantity_on_hand\n1,2,3,4.5\n1.0,x,3,\n",
+        "inv_date_sk,inv_item_sk,inv_warehouse_sk,inv_quantity_on_hand\n1,2,3,4.5\n1.0,x,3,\n1.5,2,2.0E3,1\n",
     )
     df = readers.read_raw(spark, "inventory", file)
     assert [t for _, t in df.dtypes] == ["bigint", "bigint", "bigint", "double"]
-    assert [tuple(r) for r in df.collect()] == [(1, 2, 3, 4.5), (None, None, 3, None)]
+    assert [tuple(r) for r in df.collect()] == [(1, 2, 3, 4.5), (1, None, 3, None), (None, 2, 2000, 1.0)]
     report = {r.column: (r.rows, r.nulls) for r in readers.null_report(df).collect()}
-    assert report["inv_date_sk"] == (2, 1) and report["inv_warehouse_sk"] == (2, 0)
+    assert report["inv_date_sk"] == (3, 1) and report["inv_warehouse_sk"] == (3, 0)
+
+
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_a_snapshot_keeps_text_and_large_keys(spark, tmp_path, file_format):
+    texts = ["  padded  ", "two\nlines\r\n", 'a "quoted", one', "back\\slash \\n \\b", "", None, " ", '"', "\\"]
+    names = RAW_SCHEMAS["customer"].names
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_SCHEMAS["customer"].fields)
+    rows = [[3_000_000_000 + i, t] + [None] * (len(names) - 3) + [t] for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, kinds.replace("c_customer_sk int", "c_customer_sk long"))
+    path = snapshots.snapshot_path(str(tmp_path), "customer", DAY, file_format)
+    assert sinks.export_raw(df, str(tmp_path), "customer", DAY, file_format) == len(texts)
+    back = readers.load_snapshot(spark, {"customer": path})["customer"].orderBy("c_customer_sk").collect()
+    assert [(r.c_customer_sk, r.c_customer_id, r.c_last_review_date) for r in back] == [
+        (3_000_000_000 + i, t, t) for i, t in enumerate(texts)
+    ]
+
+
+def test_a_failed_export_leaves_nothing_to_read(spark, tmp_path):
+    zone = str(tmp_path)
+    broken = spark.range(3).select(F.raise_error(F.lit("no such disk")).cast("int").alias("a"))
+    assert export_all(spark, {"inventory": broken}, zone, DAY, 1).first().status == "failed"
+    with pytest.raises(ValueError, match="inventory"):
+        snapshots.find_snapshot(spark, zone, ["inventory"], DAY)
+    good = spark.createDataFrame([(1, 2, 3, 4.0)], RAW_SCHEMAS["inventory"])
+    for table in (good, broken):  # a failure leaves the earlier export as it was
+        export_all(spark, {"inventory": table}, zone, DAY, 1)
+    found = snapshots.find_snapshot(spark, zone, ["inventory"], DAY)
+    assert readers.load_snapshot(spark, found)["inventory"].count() == 1
+
+
+def test_the_manifest_check_looks_at_storage(spark, tmp_path):
+    zone = tmp_path / "zone"
+    everything = ["catalog_sales", "customer", "inventory"]
+    for job in ("sales", "marketing"):
+        with pytest.raises(ValueError, match="catalog_sales, customer, "):
+            main([job, "--zone", str(zone), "--as-of", "2000-01-03", "--mart", str(tmp_path / "mart")])
+    for name in everything[:2]:
+        sinks.export_raw(spark.range(1), str(zone), name, DAY)
+    with pytest.raises(ValueError, match="tables: inventory$"):
+        snapshots.find_snapshot(spark, str(zone), everything, DAY)
+    (zone / "customer_2000-01-03.csv" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="tables: customer, inventory$"):
+        snapshots.find_snapshot(spark, str(zone), everything, DAY)
+
+
+def test_extract_ends_with_one_if_a_table_failed(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS partly")
+    _calendar(spark).write.mode("overwrite").saveAsTable("partly.date_dim")
+    spark.range(3).withColumn("x_sold_date_sk", F.lit("text")).write.mode("overwrite").saveAsTable("partly.odd")
+    call = ["extract", "--database", "partly", "--zone", str(tmp_path / "z"), "--as-of", "2000-01-03"]
+    assert main(call) == 1
+    spark.sql("DROP TABLE partly.odd")
+    assert main([*call, "--file-format", "parquet"]) == 0
+    assert (tmp_path / "z" / "date_dim_2000-01-03.parquet").is_dir()
+    spark.sql("DROP DATABASE partly CASCADE")
 
 
 def test_double_keys_of_facts(spark, tmp_path):
@@ -143,12 +199,30 @@ def test_jdbc_options():
 
 
 def test_split_column():
-    assert readers.split_column(["c_customer_sk", "c_name", "c_first_sales_date_sk"]) == "c_first_sales_date_sk"
+    assert readers.split_column(["c_first_shipto_date_sk", "c_customer_sk", "c_name"]) == "c_customer_sk"
     assert readers.split_column(["i_item_id", "i_item_sk"]) == "i_item_sk"
     assert readers.split_column(["name"]) is None
 
 
-@pytest.mark.parametrize("found, split", [((3, 9), True), ((None, None), False)])
+def test_base_tables_query():
+    assert readers.base_tables_query("o'raw") == (
+        "(SELECT table_name FROM information_schema.tables "
+        "WHERE table_schema = 'o''raw' AND table_type = 'BASE TABLE') AS listed"
+    )
+
+
+def test_jdbc_access_from_settings_and_environment(spark, monkeypatch):
+    assert readers.jdbc_access(spark) == {}
+    monkeypatch.setenv("MARTLOOM_JDBC_USER", "reader")
+    monkeypatch.setenv("MARTLOOM_JDBC_PASSWORD", "from the environment")
+    spark.conf.set("spark.martloom.jdbc.password", "from spark")
+    access = readers.jdbc_access(spark)
+    spark.conf.unset("spark.martloom.jdbc.password")
+    assert access == {"user": "reader", "password": "from spark"}
+    assert readers.jdbc_options("jdbc:x", "t", access=access)["user"] == "reader"
+
+
+@pytest.mark.parametrize("found, split", [((3, 9, 35), True), ((None, None, 0), False)])
 def test_jdbc_read_is_split_by_the_range_of_a_key(spark, monkeypatch, found, split):
     """The reader's decisions, with a stand-in for the database."""
     asked = []
@@ -156,12 +230,12 @@ def test_jdbc_read_is_split_by_the_range_of_a_key(spark, monkeypatch, found, spl
     def fake(session, url, table, **how):
         asked.append((table, how))
         if table.startswith("(SELECT min"):
-            return session.createDataFrame([found], "low int, high int")
+            return session.createDataFrame([found], "low int, high int, n long")
         return session.createDataFrame([], "inv_date_sk int, inv_item_sk int")
 
     monkeypatch.setattr(readers, "read_jdbc", fake)
-    readers.read_jdbc_split(spark, "jdbc:x", "raw.inventory", 4)
-    assert asked[1][0] == "(SELECT min(inv_date_sk) AS low, max(inv_date_sk) AS high FROM raw.inventory) AS key_range"
+    readers.read_jdbc_split(spark, "jdbc:x", "raw.inventory", 9, rows_per_partition=10)
+    assert asked[1][0] == "(SELECT min(inv_date_sk) AS low, max(inv_date_sk) AS high, count(*) AS n FROM raw.inventory) AS key_range"
     expected = {"partition_column": "inv_date_sk", "lower_bound": 3, "upper_bound": 10, "num_partitions": 4}
     assert asked[2] == ("raw.inventory", expected if split else {})
     assert readers.jdbc_options("jdbc:x", *asked[2][:1], **asked[2][1])["dbtable"] == "raw.inventory"
@@ -225,7 +299,15 @@ def test_publish_views_and_tables(spark, tmp_path):
     assert sinks.publish(spark, base, ["shown"]) == ["shown_table"]
     assert spark.sql("SELECT sum(m) FROM shown_table").first()[0] == 1.5
     spark.catalog.dropTempView("shown_table")
+    sinks.write_mart(exact.union(exact), base, "shown")
+    before = {p: p.stat().st_mtime for p in tmp_path.rglob("*.parquet")}
     for _ in range(2):
         sinks.publish(spark, base, ["shown"], as_tables=True)
-    assert spark.table("shown_table").count() == 1
+    assert spark.table("shown_table").count() == 2
     spark.sql("DROP TABLE shown_table")
+    assert {p: p.stat().st_mtime for p in tmp_path.rglob("*.parquet")} == before
+    sinks.write_mart(exact.union(exact.withColumn("k", F.lit(2).cast("long"))), base, "parted", ["k"])
+    assert len(list((tmp_path / "parted" / "k=2").glob("*.parquet"))) == 1
+    sinks.publish(spark, base, ["parted"], as_tables=True)
+    assert spark.table("parted_table").where("k = 2").count() == 1
+    spark.sql("DROP TABLE parted_table")
