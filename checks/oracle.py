@@ -41,10 +41,11 @@ def _sales(prefix: str, remainder: int) -> str:
                l_partkey AS {prefix}_item_sk,
                CASE WHEN l_partkey % 59 = 0 THEN NULL ELSE l_suppkey END AS {prefix}_{site},
                CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE o_custkey END AS {prefix}_{customer},
-               l_orderkey AS {prefix}_{order},
+               l_orderkey + 3000000000 AS {prefix}_{order},
                CASE WHEN l_discount = 0 THEN NULL
                     ELSE CAST(CAST(round(l_discount * 100) AS INTEGER) AS BIGINT) END AS {prefix}_promo_sk,
                CASE WHEN l_orderkey % 37 = 0 THEN NULL WHEN l_orderkey % 41 = 0 THEN 0
+                    WHEN copy = 1 THEN CAST(1 AS DECIMAL(10,0))
                     ELSE CAST(l_quantity AS DECIMAL(10,0)) END AS {prefix}_quantity,
                CAST(p_retailprice AS DECIMAL(10,2)) AS {prefix}_sales_price,
                ext * CAST(0.70 AS DECIMAL(4,2)) AS {prefix}_ext_wholesale_cost,
@@ -61,7 +62,7 @@ def _returns(prefix: str, amount: str, remainder: int) -> str:
                {half} AS {prefix}_return_quantity,
                {half} * CAST(p_retailprice AS DECIMAL(10,2)) AS {amount},
                ext * CAST(0.10 AS DECIMAL(4,2)) AS {prefix}_net_loss
-        FROM base WHERE l_linenumber % 3 = {remainder} AND l_returnflag = 'R'"""
+        FROM base WHERE l_linenumber % 3 = {remainder} AND l_returnflag = 'R' AND copy = 0"""
 
 
 def _stock_and_sales_lines(prefix: str) -> str:
@@ -109,12 +110,35 @@ def _rate(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} > 0 THEN CAST(round({exact}, 2) AS DOUBLE) ELSE 0 END"
 
 
+def _filler(kind: str, name: str, position: int, key: str) -> str:
+    """Value of a dimension column without a formula of its own: see FIXTURES.md, part C."""
+    value = {
+        "string": f"'{name} ' || CAST({key} % {position + 3} AS VARCHAR)",
+        "double": f"CAST({key} * {position + 1} % 97 AS DOUBLE)",
+        "int": f"CAST({key} * {position + 1} % 89 AS INTEGER)",
+        "date": f"DATE '1995-01-01' + CAST({key} * {position + 1} % 1000 AS INTEGER)",
+        "key": f"CAST(2450400 + {key} * {position + 1} % 2000 AS BIGINT)",
+    }[kind]
+    return f"CASE WHEN {key} % 31 <> {position} THEN {value} END"
+
+
+def _dimension(table: str, key: str, source: str, **formulas: str) -> str:
+    """All columns of a raw dimension: by formula, or filled from the row's key."""
+    columns = []
+    for position, field in enumerate(RAW_SCHEMAS[table].fields):
+        kind = "key" if is_key(field.name) else field.dataType.simpleString()
+        value = formulas.get(field.name) or _filler(kind, field.name, position, f"CAST({key} AS BIGINT)")
+        columns.append(f"CAST({value} AS BIGINT) AS {field.name}" if kind == "key" else f"{value} AS {field.name}")
+    return f"SELECT {', '.join(columns)} FROM {source}"
+
+
 _MIDWEEK = f"{_sunday('d_date')} + 4"
 
 # Named sub-queries; each statement pulls in the ones it mentions.
 _PARTS: dict[str, str] = {
     "base": """
         SELECT l.*, o_custkey, p_retailprice, CAST(l_shipdate AS DATE) AS d,
+               unnest(range(0, 1 + l_orderkey % 2)) AS copy,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS ext
         FROM lineitem l JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "cs": _sales("cs", 1),
@@ -122,9 +146,11 @@ _PARTS: dict[str, str] = {
     "ss": _sales("ss", 0),
     "cr": _returns("cr", "cr_return_amount", 1),
     "wr": _returns("wr", "wr_return_amt", 2),
-    "days": """
+    "sr": _returns("sr", "sr_return_amt", 0),
+    "every_day": """
         SELECT CAST(unnest(range(DATE '1995-01-01', (SELECT max(d) + 1 FROM base), INTERVAL 1 DAY)) AS DATE)
                AS d_date""",
+    "days": f"SELECT d_date FROM every_day WHERE {_key('d_date')} % 97 <> 0",
     "date_raw": f"""
         SELECT {_key('d_date')} AS d_date_sk, d_date, CAST(year(d_date) AS INTEGER) AS d_year,
                CAST(month(d_date) AS INTEGER) AS d_moy, CAST(day(d_date) AS INTEGER) AS d_dom,
@@ -137,11 +163,12 @@ _PARTS: dict[str, str] = {
     "cal": _calendar("date_raw", "d_date - 1", "d_date"),
     "cal_sunday": _calendar("date_raw", _MIDWEEK, _MIDWEEK),
     "inv": f"""
-        SELECT {_key('w + 4')} AS inv_date_sk, p AS inv_item_sk, s AS inv_warehouse_sk,
+        SELECT {_key('w + weekday')} AS inv_date_sk, p AS inv_item_sk, s AS inv_warehouse_sk,
                CASE WHEN (p * 7 + s * 13) % 17 = 0 THEN NULL
-                    ELSE CAST((p * 7 + s * 13 + {_key('w')}) % 60 AS DECIMAL(10,0)) END
+                    ELSE CAST((p * 7 + s * 13 + {_key('w')} + weekday) % 60 AS DECIMAL(10,0)) END
                     AS inv_quantity_on_hand
-        FROM (SELECT DISTINCT l_partkey AS p, l_suppkey AS s, {_sunday('d')} AS w FROM base)""",
+        FROM (SELECT *, unnest(CASE WHEN (p + s) % 2 = 0 THEN [4, 2] ELSE [4] END) AS weekday
+              FROM (SELECT DISTINCT l_partkey AS p, l_suppkey AS s, {_sunday('d')} AS w FROM base))""",
     "combined": _stock_and_sales_lines("cs") + " UNION ALL " + _stock_and_sales_lines("ws"),
     "daily": """
         SELECT warehouse_sk, item_sk, sold_date_sk, sum(daily_qty) AS daily_qty,
@@ -240,7 +267,8 @@ _PARTS: dict[str, str] = {
         FROM cohorts GROUP BY 1
         HAVING cohort_year < (SELECT year(max_sold_date) FROM newest)""",
     "lifespan": """
-        SELECT avg(total_customers / CASE WHEN churned_customers = 0 THEN 1 ELSE churned_customers END)
+        SELECT list_reduce(list(total_customers / CASE WHEN churned_customers = 0 THEN 1 ELSE churned_customers END
+                                ORDER BY cohort_year), lambda total, one: total + one) / count(*)
                AS avg_estimated_lifespan
         FROM churn""",
     "summary": """
@@ -252,15 +280,82 @@ _PARTS: dict[str, str] = {
     "segments_ranked": """
         SELECT c_mktsegment AS segment, row_number() OVER (ORDER BY c_mktsegment) AS cd_demo_sk
         FROM (SELECT DISTINCT c_mktsegment FROM customer)""",
+    "item_raw": _dimension(
+        "item",
+        "p_partkey",
+        "part",
+        i_item_sk="p_partkey",
+        i_item_id="'I' || CAST(p_partkey AS VARCHAR)",
+        i_product_name="p_name",
+        i_brand="p_brand",
+        i_class="p_type",
+        i_size="CAST(p_size AS VARCHAR)",
+        i_current_price="p_retailprice",
+        i_item_desc="""'  ' || p_name || chr(10) || '"quoted", ' || chr(92) || 'n ' || p_partkey || chr(13) || ' '""",
+        i_formulation="CASE WHEN p_partkey % 2 = 0 THEN '' END",
+    ),
+    "warehouse_raw": _dimension(
+        "warehouse",
+        "s_suppkey",
+        "supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
+        w_warehouse_sk="s_suppkey",
+        w_warehouse_name="s_name",
+        w_city="n_name",
+        w_country="r_name",
+    ),
+    "customer_raw": _dimension(
+        "customer",
+        "c_custkey",
+        "customer JOIN segments_ranked ON c_mktsegment = segment",
+        c_customer_sk="c_custkey",
+        c_customer_id="c_name",
+        c_current_addr_sk="c_nationkey",
+        c_current_cdemo_sk="cd_demo_sk",
+        c_current_hdemo_sk="c_custkey % 20",
+    ),
+    "address_raw": _dimension(
+        "customer_address",
+        "n_nationkey",
+        "nation JOIN region ON n_regionkey = r_regionkey",
+        ca_address_sk="n_nationkey",
+        ca_city="n_name",
+        ca_country="r_name",
+    ),
+    "demographics_raw": _dimension(
+        "customer_demographics", "cd_demo_sk", "segments_ranked", cd_demo_sk="cd_demo_sk", cd_credit_rating="segment"
+    ),
+    "household_raw": _dimension(
+        "household_demographics",
+        "id",
+        "(SELECT unnest(range(20)) AS id)",
+        hd_demo_sk="id",
+        hd_income_band_sk="CASE WHEN id <> 13 THEN id % 5 END",
+        hd_dep_count="CAST(id % 7 AS INTEGER)",
+        hd_vehicle_count="CAST(id % 4 AS INTEGER)",
+    ),
+    "band_raw": """
+        SELECT id AS ib_income_band_sk, CAST(id * 10000 AS INTEGER) AS ib_lower_bound,
+               CAST(id * 10000 + 9999 AS INTEGER) AS ib_upper_bound
+        FROM (SELECT unnest(range(5)) AS id)""",
     "customer_sides": """
-        SELECT c_custkey AS customer_sk, c_name AS customer_id, n_name AS city, r_name AS country,
-               segment AS credit_rating, CAST(h % 7 AS INTEGER) AS household_dep_count,
-               CAST(h % 4 AS INTEGER) AS vehicle_count, CAST(h % 5 * 10000 AS INTEGER) AS income_lower_bound,
-               CAST(h % 5 * 10000 + 9999 AS INTEGER) AS income_upper_bound
-        FROM (SELECT *, c_custkey % 20 AS h FROM customer)
-        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        JOIN segments_ranked ON c_mktsegment = segment
-        WHERE h <> 13""",
+        SELECT c_customer_sk AS customer_sk, c_customer_id AS customer_id, c_salutation AS salutation,
+               c_first_name AS first_name, c_last_name AS last_name, c_preferred_cust_flag AS preferred_cust_flag,
+               c_birth_day AS birth_day, c_birth_month AS birth_month, c_birth_year AS birth_year,
+               c_login AS login, c_email_address AS email_address, ca_street_number AS street_number,
+               ca_street_name AS street_name, ca_street_type AS street_type, ca_suite_number AS suite_number,
+               ca_city AS city, ca_county AS county, ca_state AS state, ca_zip AS zip, ca_country AS country,
+               ca_gmt_offset AS gmt_offset, ca_location_type AS location_type, cd_gender AS gender,
+               cd_marital_status AS marital_status, cd_education_status AS education_status,
+               cd_purchase_estimate AS purchase_estimate, cd_credit_rating AS credit_rating,
+               cd_dep_count AS customer_dep_count, cd_dep_employed_count AS dep_employed_count,
+               cd_dep_college_count AS dep_college_count, hd_buy_potential AS buy_potential,
+               hd_dep_count AS household_dep_count, hd_vehicle_count AS vehicle_count,
+               ib_lower_bound AS income_lower_bound, ib_upper_bound AS income_upper_bound
+        FROM customer_raw
+        JOIN address_raw ON c_current_addr_sk = ca_address_sk
+        JOIN demographics_raw ON c_current_cdemo_sk = cd_demo_sk
+        JOIN household_raw ON c_current_hdemo_sk = hd_demo_sk
+        JOIN band_raw ON hd_income_band_sk = ib_income_band_sk""",
     "recency": """
         SELECT date_diff('day', last_purchase_date, (SELECT max_sold_date FROM newest)) AS days
         FROM cohorts WHERE last_purchase_date IS NOT NULL""",
@@ -268,15 +363,6 @@ _PARTS: dict[str, str] = {
 }
 
 
-def _nulls(names: str) -> str:
-    """Columns without a source, as untyped-by-name pairs ``name`` or ``name:TYPE``."""
-    out = []
-    for word in names.split():
-        name, _, kind = word.partition(":")
-        out.append(f"CAST(NULL AS {kind or 'VARCHAR'}) AS {name}")
-    return ", ".join(out)
-
-
 def _raw_columns(table: str, mapped: set[str]) -> str:
     """All columns of a raw table: mapped ones by name with decimals as doubles, others null."""
     out = []
@@ -291,21 +377,15 @@ def _doubles(*names: str) -> str:
     return ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)
 
 
-_ITEM = f"""
-    SELECT p_partkey AS item_sk, 'I' || CAST(p_partkey AS VARCHAR) AS item_id,
-           p_name AS product_name, p_brand AS brand, p_type AS class, CAST(p_size AS VARCHAR) AS size,
-           p_retailprice AS current_price,
-           {_nulls('''rec_start_date:DATE rec_end_date:DATE item_desc wholesale_cost:DOUBLE brand_id:DOUBLE
-                   class_id:DOUBLE category_id:DOUBLE category manufact_id:DOUBLE manufact formulation color
-                   units container manager_id:DOUBLE''')}
-    FROM part"""
-_CUSTOMER = f"""
-    customer_sk, customer_id, city, country, credit_rating, household_dep_count, vehicle_count,
-    income_lower_bound, income_upper_bound,
-    {_nulls('''salutation first_name last_name preferred_cust_flag birth_day birth_month birth_year login
-            email_address street_number street_name street_type suite_number county state zip
-            gmt_offset:DOUBLE location_type gender marital_status education_status purchase_estimate:DOUBLE
-            customer_dep_count:DOUBLE dep_employed_count:DOUBLE dep_college_count:DOUBLE buy_potential''')}"""
+_ITEM = """
+    SELECT i_item_sk AS item_sk, i_item_id AS item_id, i_rec_start_date AS rec_start_date,
+           i_rec_end_date AS rec_end_date, i_item_desc AS item_desc, i_current_price AS current_price,
+           i_wholesale_cost AS wholesale_cost, i_brand_id AS brand_id, i_brand AS brand, i_class_id AS class_id,
+           i_class AS class, i_category_id AS category_id, i_category AS category, i_manufact_id AS manufact_id,
+           i_manufact AS manufact, i_size AS size, i_formulation AS formulation, i_color AS color,
+           i_units AS units, i_container AS container, i_manager_id AS manager_id,
+           i_product_name AS product_name
+    FROM item_raw"""
 _AS_OF_KEY = f"(SELECT {_key('d_date')} FROM days WHERE d_date = DATE '1999-06-30')"
 
 
@@ -316,6 +396,45 @@ def _known(prefix: str) -> str:
     )
 
 
+def _returned(prefix: str) -> str:
+    return f"{prefix}_returned_date_sk <= {_AS_OF_KEY}"
+
+
+def _or_null(*columns: str) -> str:
+    return " AND ".join(f"({c} IS NULL OR {c} <= {_AS_OF_KEY})" for c in columns)
+
+
+# Source and as-of condition of every raw table.
+_EXTRACTED = {
+    "catalog_returns": ("cr", _returned("cr")),
+    "catalog_sales": ("cs", _known("cs")),
+    "customer": ("customer_raw", _or_null("c_first_shipto_date_sk", "c_first_sales_date_sk")),
+    "customer_address": ("address_raw", "true"),
+    "customer_demographics": ("demographics_raw", "true"),
+    "date_dim": ("days", "d_date BETWEEN DATE '1990-01-01' AND DATE '2030-01-01'"),
+    "household_demographics": ("household_raw", "true"),
+    "income_band": ("band_raw", "true"),
+    "inventory": ("inv", _or_null("inv_date_sk")),
+    "item": ("item_raw", "true"),
+    "store_returns": ("sr", _returned("sr")),
+    "store_sales": ("ss", f"ss_sold_date_sk <= {_AS_OF_KEY}"),
+    "warehouse": ("warehouse_raw", "true"),
+    "web_returns": ("wr", _returned("wr")),
+    "web_sales": ("ws", _known("ws")),
+}
+# Tables with a day key, and the one that is summed up as a check.
+_DAY_KEYS = {
+    "catalog_returns": "cr_returned_date_sk",
+    "catalog_sales": "cs_sold_date_sk",
+    "customer": "c_first_sales_date_sk",
+    "inventory": "inv_date_sk",
+    "store_returns": "sr_returned_date_sk",
+    "store_sales": "ss_sold_date_sk",
+    "web_returns": "wr_returned_date_sk",
+    "web_sales": "ws_sold_date_sk",
+}
+
+
 def _weekly(source: str) -> str:
     return f"""
         SELECT yr_wk_num, warehouse_sk, item_sk, week_start_date, week_end_date,
@@ -329,11 +448,17 @@ def _weekly(source: str) -> str:
 
 
 _CATALOG_MAPPED = {
-    f"cs_{c}"
-    for c in (
-        "sold_date_sk ship_date_sk item_sk warehouse_sk bill_customer_sk order_number promo_sk quantity "
-        "sales_price ext_wholesale_cost net_profit"
-    ).split()
+    "cs_sold_date_sk",
+    "cs_ship_date_sk",
+    "cs_item_sk",
+    "cs_warehouse_sk",
+    "cs_bill_customer_sk",
+    "cs_order_number",
+    "cs_promo_sk",
+    "cs_quantity",
+    "cs_sales_price",
+    "cs_ext_wholesale_cost",
+    "cs_net_profit",
 }
 _DAY = "sold_date, sold_yr_num, sold_mnth_num, sold_wk_num"
 _MEASURES = ("daily_qty", "daily_sales_amt", "daily_net_profit", "daily_cogs")
@@ -355,29 +480,28 @@ _STATEMENTS: dict[str, str] = {
     "calendar_range": """
         SELECT d_date_sk, d_date, d_year, d_moy, d_dom, d_qoy, d_day_name, d_quarter_name
         FROM date_raw WHERE d_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""",
-    "full_extract": "SELECT "
-    + ", ".join(
-        f"{f.name.removeprefix('i_')} AS {f.name}" for f in RAW_SCHEMAS["item"].fields
-    )
-    + f" FROM ({_ITEM})",
-    "extract_snapshot": f"""
-        SELECT 'catalog_sales' AS table_name, count(*) AS row_count, 'exported' AS status FROM cs WHERE {_known('cs')}
-        UNION ALL SELECT 'web_sales', count(*), 'exported' FROM ws WHERE {_known('ws')}
-        UNION ALL SELECT 'inventory', count(*), 'exported' FROM inv
-                  WHERE inv_date_sk IS NULL OR inv_date_sk <= {_AS_OF_KEY}
-        UNION ALL SELECT 'date_dim', count(*), 'exported' FROM days
-                  WHERE d_date BETWEEN DATE '1990-01-01' AND DATE '2030-01-01'
-        UNION ALL SELECT 'item', count(*), 'exported' FROM part
-        UNION ALL SELECT 'warehouse', count(*), 'exported' FROM supplier""",
+    "full_extract": "SELECT * FROM item_raw",
+    "csv_roundtrip_text": "SELECT * FROM item_raw",
+    "extract_snapshot": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, 'exported' AS status FROM {source} WHERE {kept}"
+        for table, (source, kept) in _EXTRACTED.items()
+    ),
+    "as_of_filter_all": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, CAST(sum({key}) AS BIGINT) AS day_keys "
+        f"FROM {_EXTRACTED[table][0]} WHERE {_EXTRACTED[table][1]}"
+        for table, key in _DAY_KEYS.items()
+    ),
     "dim_date": "SELECT * FROM cal",
     "dim_date_sunday": "SELECT * FROM cal_sunday",
     "dim_item": _ITEM,
-    "dim_warehouse": f"""
-        SELECT s_suppkey AS warehouse_sk, s_name AS warehouse_name, n_name AS city, r_name AS country,
-               {_nulls('''warehouse_id warehouse_sq_ft:DOUBLE street_number street_name street_type suite_number
-                       county state zip:DOUBLE gmt_offset:DOUBLE''')}
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
-    "dim_customer": f"SELECT {_CUSTOMER} FROM customer_sides",
+    "dim_warehouse": """
+        SELECT w_warehouse_sk AS warehouse_sk, w_warehouse_id AS warehouse_id, w_warehouse_name AS warehouse_name,
+               w_warehouse_sq_ft AS warehouse_sq_ft, w_street_number AS street_number,
+               w_street_name AS street_name, w_street_type AS street_type, w_suite_number AS suite_number,
+               w_city AS city, w_county AS county, w_state AS state, w_zip AS zip, w_country AS country,
+               w_gmt_offset AS gmt_offset
+        FROM warehouse_raw""",
+    "dim_customer": "SELECT * FROM customer_sides",
     "combined_daily_sales": f"""
         SELECT warehouse_sk, item_sk, sold_date_sk, {_doubles(*_MEASURES[:3])} FROM combined""",
     "daily_sales_dated": f"""
@@ -433,8 +557,8 @@ _STATEMENTS: dict[str, str] = {
         SELECT summary.*, avg_estimated_lifespan AS estimated_lifespan,
                avg_profit_per_order * total_orders * avg_estimated_lifespan AS "CLV"
         FROM summary CROSS JOIN lifespan""",
-    "dim_customer_marketing": f"""
-        SELECT {_CUSTOMER}, recency_segment, frequency_segment, monetary_segment, customer_segment
+    "dim_customer_marketing": """
+        SELECT customer_sides.*, recency_segment, frequency_segment, monetary_segment, customer_segment
         FROM customer_sides JOIN segmented USING (customer_sk)""",
     "recency_quantiles": """
         SELECT CAST(p AS DOUBLE) AS probability, CAST(min(days) AS INTEGER) AS days_since_last_purchase

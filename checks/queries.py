@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from martloom.operators import calendar, customers, dimensions, returns, sales
 from martloom.plans.extract import extract_snapshot
 from martloom.plans.shared import materialize, shared_path
 from martloom.plans.sizing import checked_calendar
+from martloom.schemas import RAW_SCHEMAS
 from martloom.sinks import export_raw, publish, write_mart
 from martloom.sources import readers, snapshots
 
@@ -132,15 +133,37 @@ def _published_sql(f: Frames) -> DataFrame:
     )
 
 
-EXTRACTED = ("catalog_sales", "web_sales", "inventory", "date_dim", "item", "warehouse")
+def _csv_roundtrip_text(f: Frames) -> DataFrame:
+    zone = shared_path(f.spark, "csv_roundtrip_text")
+    export_raw(f.tables.item, zone, "item", AS_OF)
+    return readers.load_snapshot(f.spark, snapshots.find_snapshot(f.spark, zone, ["item"], AS_OF))["item"]
 
 
 def _extract_snapshot(f: Frames) -> DataFrame:
     zone = shared_path(f.spark, "extract_snapshot")
-    tables = {name: f.tables.raw(name) for name in EXTRACTED}
+    tables = {name: f.tables.raw(name) for name in RAW_SCHEMAS}
     return extract_snapshot(f.spark, tables, AS_OF, zone).select("table_name", "row_count", "status")
 
 
+def _as_of_filter_all(f: Frames) -> DataFrame:
+    """Rows kept of every table that has a day key, and the sum of one of its day keys."""
+    key = snapshots.as_of_key(f.tables.date_dim, AS_OF)
+    kept = []
+    for name in RAW_SCHEMAS:
+        table = f.tables.raw(name)
+        days = [c for c in snapshots.date_key_columns(table) if name != "date_dim"]
+        if days:
+            summed = next((c for c in days if "sold" in c or "sales" in c), days[0])
+            kept.append(
+                snapshots.as_of_filter(table, key).agg(
+                    F.lit(name).alias("table_name"),
+                    F.count(F.lit(1)).alias("row_count"),
+                    F.sum(summed).alias("day_keys"),
+                )
+            )
+    return reduce(DataFrame.unionByName, kept)
+
+
 def _as_of_filter(f: Frames) -> DataFrame:
     key = snapshots.as_of_key(f.tables.date_dim, AS_OF)
     columns = [
@@ -166,10 +189,12 @@ def _customer_clv(f: Frames) -> DataFrame:
 _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     # sources and sinks
     "csv_roundtrip": _csv_roundtrip,
+    "csv_roundtrip_text": _csv_roundtrip_text,
     "parquet_roundtrip": _parquet_roundtrip,
     "published_sql": _published_sql,
     "as_of_key": lambda f: snapshots.as_of_day(f.tables.date_dim, AS_OF),
     "as_of_filter": _as_of_filter,
+    "as_of_filter_all": _as_of_filter_all,
     "calendar_range": lambda f: snapshots.calendar_range(f.tables.date_dim, *RANGE).select(
         "d_date_sk", "d_date", "d_year", "d_moy", "d_dom", "d_qoy", "d_day_name", "d_quarter_name"
     ),

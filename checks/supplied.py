@@ -22,6 +22,18 @@ def _null_if(gap: str, value: str) -> str:
     return f"IF({gap}, NULL, {value})"
 
 
+def filler(kind: str, name: str, position: int, key: str) -> str:
+    """Value of a dimension column that has no formula of its own, from the row's key; null in one row of 31."""
+    value = {
+        "string": f"'{name} ' || CAST({key} % {position + 3} AS STRING)",
+        "double": f"CAST({key} * {position + 1} % 97 AS DOUBLE)",
+        "int": f"CAST({key} * {position + 1} % 89 AS INT)",
+        "date": f"date_add(DATE'1995-01-01', CAST({key} * {position + 1} % 1000 AS INT))",
+        "key": f"2450400 + {key} * {position + 1} % 2000",
+    }[kind]
+    return _null_if(f"{key} % 31 = {position}", value)
+
+
 class SuppliedTables:
     """Raw retail tables derived from the order tables in ``folder``; all lazy."""
 
@@ -38,19 +50,27 @@ class SuppliedTables:
     def raw(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def _conform(self, name: str, df: DataFrame, prefix: str, columns: dict[str, str]) -> DataFrame:
-        """Give ``df`` the full layout of a raw table; columns without a formula are typed nulls."""
+    def _conform(
+        self, name: str, df: DataFrame, prefix: str, columns: dict[str, str], key: str | None = None
+    ) -> DataFrame:
+        """Give ``df`` the full layout of a raw table.
+
+        Columns without a formula are filled from ``key``, or typed nulls without one.
+        """
         formulas = {f"{prefix}_{column}": formula for column, formula in columns.items()}
         selected = []
-        for field in RAW_SCHEMAS[name].fields:
-            value = formulas.get(field.name, f"CAST(NULL AS {field.dataType.simpleString()})")
+        for position, field in enumerate(RAW_SCHEMAS[name].fields):
+            kind = "key" if is_key(field.name) else field.dataType.simpleString()
+            blank = filler(kind, field.name, position, key) if key else f"CAST(NULL AS {field.dataType.simpleString()})"
+            value = formulas.get(field.name, blank)
             selected.append(f"{f'CAST({value} AS BIGINT)' if is_key(field.name) else value} AS {field.name}")
         return df.selectExpr(*selected)
 
     @cached_property
     def _lines(self) -> DataFrame:
-        """Line items with exact price and calendar day."""
+        """Line items with exact price and calendar day; those of odd orders have a second line of one piece."""
         return self.table("lineitem").selectExpr(
+            "explode(sequence(0, CAST(l_orderkey % 2 AS INT))) AS copy",
             "l_orderkey",
             "l_partkey",
             "l_suppkey",
@@ -81,10 +101,10 @@ class SuppliedTables:
             "item_sk": "l_partkey",
             "store_sk" if store else "warehouse_sk": _null_if("l_partkey % 59 = 0", "l_suppkey"),
             "customer_sk" if store else "bill_customer_sk": _null_if("l_orderkey % 53 = 0", "o_custkey"),
-            "ticket_number" if store else "order_number": "l_orderkey",
+            "ticket_number" if store else "order_number": "l_orderkey + 3000000000",
             "promo_sk": _null_if("discount = 0", "CAST(discount * 100 AS INT)"),
             "quantity": "CASE WHEN l_orderkey % 37 = 0 THEN NULL WHEN l_orderkey % 41 = 0 THEN 0 "
-            "ELSE CAST(l_quantity AS DECIMAL(10,0)) END",
+            "WHEN copy = 1 THEN CAST(1 AS DECIMAL(10,0)) ELSE CAST(l_quantity AS DECIMAL(10,0)) END",
             "sales_price": "price",
             "ext_wholesale_cost": "ext * CAST(0.70 AS DECIMAL(4,2))",
             "net_profit": "ext * (CAST(0.30 AS DECIMAL(4,2)) - 5 * discount)",
@@ -106,14 +126,14 @@ class SuppliedTables:
         return self._sales("store_sales", "ss", 0)
 
     def _returns(self, name: str, prefix: str, amount: str, remainder: int) -> DataFrame:
-        lines = self._lines.where(f"l_linenumber % 3 = {remainder} AND l_returnflag = 'R'").join(
+        lines = self._lines.where(f"l_linenumber % 3 = {remainder} AND l_returnflag = 'R' AND copy = 0").join(
             self._prices, "l_partkey"
         )
         half = "CAST(CAST(l_quantity AS INT) DIV 2 AS DECIMAL(10,0))"
         columns = {
             "returned_date_sk": _day_key("date_add(d, CAST(l_partkey % 20 AS INT))"),
             "item_sk": "l_partkey",
-            "order_number": "l_orderkey",
+            "ticket_number" if prefix == "sr" else "order_number": "l_orderkey + 3000000000",
             "return_quantity": half,
             amount: f"{half} * price",
             "net_loss": "ext * CAST(0.10 AS DECIMAL(4,2))",
@@ -128,14 +148,19 @@ class SuppliedTables:
     def web_returns(self) -> DataFrame:
         return self._returns("web_returns", "wr", "return_amt", 2)
 
+    @cached_property
+    def store_returns(self) -> DataFrame:
+        return self._returns("store_returns", "sr", "return_amt", 0)
+
     @cached_property
     def inventory(self) -> DataFrame:
         sunday = "next_day(date_sub(d, 7), 'Sunday') AS w"
         weeks = self._lines.selectExpr("l_partkey AS p", "l_suppkey AS s", sunday).distinct()
+        weeks = weeks.selectExpr("*", "explode(IF((p + s) % 2 = 0, array(4, 2), array(4))) AS weekday")
         mix = "(p * 7 + s * 13)"
-        on_hand = _null_if(f"{mix} % 17 = 0", f"({mix} + {_day_key('w')}) % 60")
+        on_hand = _null_if(f"{mix} % 17 = 0", f"({mix} + {_day_key('w')} + weekday) % 60")
         columns = {
-            "date_sk": _day_key("date_add(w, 4)"),
+            "date_sk": _day_key("date_add(w, weekday)"),
             "item_sk": "p",
             "warehouse_sk": "s",
             "quantity_on_hand": f"CAST({on_hand} AS DECIMAL(10,0))",
@@ -145,7 +170,7 @@ class SuppliedTables:
     @cached_property
     def date_dim(self) -> DataFrame:
         last = self._lines.selectExpr("max(d) AS last")
-        days = last.selectExpr("explode(sequence(DATE'1995-01-01', last)) AS day")
+        days = last.selectExpr("explode(sequence(DATE'1995-01-01', last)) AS day").where(f"{_day_key('day')} % 97 <> 0")
         columns = {
             "date_sk": _day_key("day"),
             "date": "day",
@@ -168,8 +193,10 @@ class SuppliedTables:
             "class": "p_type",
             "size": "CAST(p_size AS STRING)",
             "current_price": "p_retailprice",
+            "item_desc": """concat('  ', p_name, chr(10), '"quoted", ', chr(92), 'n ', p_partkey, chr(13), ' ')""",
+            "formulation": "IF(p_partkey % 2 = 0, '', NULL)",
         }
-        return self._conform("item", self.table("part"), "i", columns)
+        return self._conform("item", self.table("part"), "i", columns, "p_partkey")
 
     @cached_property
     def _places(self) -> DataFrame:
@@ -187,35 +214,39 @@ class SuppliedTables:
             "city": "n_name",
             "country": "r_name",
         }
-        return self._conform("warehouse", located, "w", columns)
+        return self._conform("warehouse", located, "w", columns, "s_suppkey")
 
     @cached_property
     def _segments(self) -> DataFrame:
-        """One row with the handful of market segments in alphabetical order."""
-        return self.table("customer").selectExpr("array_sort(collect_set(c_mktsegment)) AS segments")
+        """The market segments and their places in alphabetical order."""
+        return (
+            self.table("customer")
+            .select("c_mktsegment")
+            .distinct()
+            .selectExpr("c_mktsegment", "row_number() OVER (ORDER BY c_mktsegment) AS place")
+        )
 
     @cached_property
     def customer(self) -> DataFrame:
-        ranked = self.table("customer").withColumn("segments", self._segments.scalar())
+        ranked = self.table("customer").join(self._segments, "c_mktsegment")
         columns = {
             "customer_sk": "c_custkey",
             "customer_id": "c_name",
             "current_addr_sk": "c_nationkey",
-            "current_cdemo_sk": "array_position(segments, c_mktsegment)",
+            "current_cdemo_sk": "place",
             "current_hdemo_sk": "c_custkey % 20",
         }
-        return self._conform("customer", ranked, "c", columns)
+        return self._conform("customer", ranked, "c", columns, "c_custkey")
 
     @cached_property
     def customer_address(self) -> DataFrame:
         columns = {"address_sk": "n_nationkey", "city": "n_name", "country": "r_name"}
-        return self._conform("customer_address", self._places, "ca", columns)
+        return self._conform("customer_address", self._places, "ca", columns, "n_nationkey")
 
     @cached_property
     def customer_demographics(self) -> DataFrame:
-        ranked = self._segments.selectExpr("posexplode(segments) AS (position, segment)")
-        columns = {"demo_sk": "position + 1", "credit_rating": "segment"}
-        return self._conform("customer_demographics", ranked, "cd", columns)
+        columns = {"demo_sk": "place", "credit_rating": "c_mktsegment"}
+        return self._conform("customer_demographics", self._segments, "cd", columns, "place")
 
     @cached_property
     def household_demographics(self) -> DataFrame:
@@ -225,7 +256,7 @@ class SuppliedTables:
             "dep_count": "CAST(id % 7 AS INT)",
             "vehicle_count": "CAST(id % 4 AS INT)",
         }
-        return self._conform("household_demographics", self.spark.range(20), "hd", columns)
+        return self._conform("household_demographics", self.spark.range(20), "hd", columns, "id")
 
     @cached_property
     def income_band(self) -> DataFrame:

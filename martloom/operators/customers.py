@@ -100,9 +100,15 @@ def churn_by_cohort(activity: DataFrame, latest: DataFrame, churn_days: int = 30
 
 
 def average_lifespan(churn: DataFrame) -> DataFrame:
-    """One row: mean over cohorts of customers per churned customer (no churn counts as one)."""
+    """One row: mean over cohorts of customers per churned customer (no churn counts as one).
+
+    The cohorts, one per year, are added up in the order of the years, so that the
+    last digits do not depend on which task came first. No cohorts give null.
+    """
     lifespan = F.col("total_customers") / F.greatest("churned_customers", F.lit(1))
-    return churn.agg(F.avg(lifespan).alias("avg_estimated_lifespan"))
+    by_year = F.array_sort(F.collect_list(F.struct("cohort_year", lifespan.alias("lifespan"))))
+    total = F.aggregate(by_year, F.lit(0.0), lambda so_far, cohort: so_far + cohort["lifespan"])
+    return churn.agg(F.try_divide(total, F.count(F.lit(1))).alias("avg_estimated_lifespan"))
 
 
 def customer_summary(activity: DataFrame) -> DataFrame:
