@@ -39,7 +39,7 @@ SEGMENT_WINDOWS = 256
 HOT_SEGMENTS = 2000
 # Added to the number of windows of a segment that may repeat itself.
 MAY_REPEAT = 1 << 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 # Segments a task collapses before it sends them; text in one group of documents.
 HELD_SEGMENTS = 300_000
 GROUP_BYTES = 8 << 20
@@ -188,10 +188,10 @@ def repeated_windows(shard: list[tuple[int, int, bytes]], length: int) -> tuple[
     shard = sorted(shard)
     sizes = np.array([len(s) for *_, s in shard])
     octets = np.frombuffer(b"".join(s + b"\0" for *_, s in shard), dtype=np.uint8)
-    symbols = octets.astype(np.int64) + 2
+    symbols = octets.astype(np.int32) + 2
     ends = np.cumsum(sizes + 1) - 1
     symbols[ends] = 1
-    order = suffix_array(np.concatenate([symbols, [0]]), 258)[1:]
+    order = suffix_array(np.concatenate([symbols, np.zeros(1, np.int32)]), 258)[1:]
     common = permuted_common_prefixes(octets, order, length)
     segment = np.repeat(np.arange(len(shard)), sizes + 1)
     whole = np.arange(len(octets)) + length <= ends[segment]
@@ -354,7 +354,7 @@ def substring_dedup(
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Suffix arrays of whole minimizers, about ``SHARD_BYTES`` at a time, and windows collapsed."""
-        windows, by_key = [], {}
+        windows, payloads, columns = [], [], []
         for batch in batches:
             passing = []
             for kind, route, payload in zip(*[batch.column(c).to_pylist() for c in ("kind", "route", "payload")], strict=True):
@@ -364,30 +364,36 @@ def substring_dedup(
                     passing.append((kind, route, payload))
                 else:
                     n = int(np.frombuffer(payload, dtype="<u8", count=1)[0])
-                    key, row, start, count = (
-                        c.tolist() for c in np.frombuffer(payload, dtype="<i8", count=4 * n, offset=8).reshape(4, n)
-                    )
-                    at = 8 + 32 * n
-                    for k, r, s, c in zip(key, row, start, count, strict=True):
-                        size = c + length - 1
-                        by_key.setdefault(k, []).append((r, s, payload[at : at + size]))
-                        at += size
+                    found = np.frombuffer(payload, dtype="<i8", count=4 * n, offset=8).reshape(4, n)
+                    sizes = found[3] + length - 1
+                    places = 8 + 32 * n + np.cumsum(sizes) - sizes
+                    columns.append(np.vstack([found[:3], sizes, places, np.full(n, len(payloads))]))
+                    payloads.append(payload)
             if passing:
                 yield _batch(passing)
         _, later = _collapsed(_unpack(windows, "uuiii"))
         yield _batch(list(_dealt(REPEAT, later, _routed(later[0], groups))))
-        shard, held = [], 0
-        for k in sorted(by_key):
-            mine = by_key.pop(k)
-            shard += mine
-            held += sum(len(s) for *_, s in mine)
-            if held >= SHARD_BYTES:
-                runs = _runs(*repeated_windows(shard, length))
-                yield _batch(list(_dealt(REPEAT, runs, _routed(runs[0], groups))))
-                shard, held = [], 0
-        if shard:
+        if not columns:
+            return
+        key, row, start, size, place, payload = np.concatenate(columns, axis=1)
+        columns.clear()
+        order = np.argsort(key, kind="stable")
+        # A shard ends with the first minimizer that fills it.
+        filled = np.cumsum(size[order])
+        last = np.flatnonzero(np.concatenate([key[order][1:] != key[order][:-1], [True]])) + 1
+        begin = 0
+        while begin < len(order):
+            full = np.searchsorted(filled, (filled[begin - 1] if begin else 0) + SHARD_BYTES)
+            end = int(last[np.searchsorted(last, min(full + 1, len(order)))])
+            shard = [
+                (r, s, payloads[p][at : at + n])
+                for r, s, n, at, p in zip(
+                    *(c[order[begin:end]].tolist() for c in (row, start, size, place, payload)), strict=True
+                )
+            ]
             runs = _runs(*repeated_windows(shard, length))
             yield _batch(list(_dealt(REPEAT, runs, _routed(runs[0], groups))))
+            begin = end
 
     texts = rows.select("__row", text_or_empty().alias("text"))
     met = texts.mapInArrow(cut, PACKED).repartition(parts, "route", "kind").mapInArrow(meet, PACKED)

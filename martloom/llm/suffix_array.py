@@ -29,7 +29,7 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, size: int) -> np.
     counts = np.bincount(s, minlength=size)
     ends = np.cumsum(counts)
     starts = ends - counts
-    sa = np.full(n, -1, dtype=np.int64)
+    sa = np.full(n, -1, dtype=np.int32)
     symbols = s[lms]
     seeds_at = np.searchsorted(symbols, np.arange(size + 1))  # lms come sorted by their first symbol
 
@@ -129,13 +129,13 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
         return _induce(s, small, lms, size)
     is_lms = np.zeros(n, dtype=bool)
     is_lms[lms] = True
-    lengths = np.zeros(n, dtype=np.int64)
+    lengths = np.zeros(n, dtype=np.int32)
     lengths[lms[:-1]] = np.diff(lms) + 1
     lengths[lms[-1]] = 1
     by_symbol = lms[np.argsort(s[lms], kind="stable")]
     rough = _induce(s, small, by_symbol, size)
     order = rough[is_lms[rough]]
-    names = np.empty(n, dtype=np.int64)
+    names = np.empty(n, dtype=np.int32)
     names[order] = np.cumsum(_named(s, order, lengths)) - 1
     shorter = names[lms]
     width = int(shorter.max()) + 1
@@ -156,13 +156,13 @@ def permuted_common_prefixes(octets: np.ndarray, sa: np.ndarray, limit: int) ->
     needs no look. Others are compared eight bytes at a time.
     """
     n = len(sa)
-    before = np.full(n, -1, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([octets, np.zeros(limit + 8, dtype=np.uint8)]).astype(np.uint64)
+    padded = np.concatenate([octets, np.zeros(limit + 8, dtype=np.uint8)])
     words = np.zeros(n + limit, dtype=np.uint64)
     for k in range(8):
-        words |= padded[k : k + n + limit] << np.uint64(8 * k)
-    common = np.zeros(n, dtype=np.int64)
+        words |= padded[k : k + n + limit].astype(np.uint64) << np.uint64(8 * k)
+    common = np.zeros(n, dtype=np.int32)
     at = np.flatnonzero(before >= 0)
     for k in range(0, limit, 8):
         step = min(k, limit - 8)
