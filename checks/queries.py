@@ -9,7 +9,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.supplied import SuppliedTables
+from checks.supplied import StoredTables, SuppliedTables
 from martloom.functions.labels import SegmentThresholds
 from martloom.functions.ratios import decimals_to_double
 from martloom.operators import calendar, customers, dimensions, returns, sales
@@ -38,9 +38,9 @@ QUANTILE_ERROR = 0.00001
 class Frames:
     """The frames the queries share, built on demand for one folder of tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, tables: SuppliedTables | StoredTables | None = None):
         self.spark = spark
-        self.tables = SuppliedTables(spark, folder)
+        self.tables = tables or SuppliedTables(spark, folder)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -245,5 +245,10 @@ def _runner(build: Callable[[Frames], DataFrame]) -> Callable[[SparkSession, str
     return run
 
 
+def queries_over(tables: StoredTables) -> dict[str, Callable[[], DataFrame]]:
+    """The queries over raw tables that are already stored."""
+    return {n: lambda b=build: decimals_to_double(b(Frames(tables.spark, "", tables))) for n, build in _QUERIES.items()}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _runner(build) for name, build in _QUERIES.items()}

@@ -266,3 +266,25 @@ class SuppliedTables:
             "upper_bound": "CAST(id * 10000 + 9999 AS INT)",
         }
         return self._conform("income_band", self.spark.range(5), "ib", columns)
+
+
+class StoredTables:
+    """Raw tables written once as Parquet: ``folder/<table>``."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+
+    @classmethod
+    def write(cls, supplied: SuppliedTables, folder: str) -> StoredTables:
+        for name in RAW_SCHEMAS:
+            supplied.raw(name).write.mode("overwrite").parquet(f"{folder}/{name}")
+        return cls(supplied.spark, folder)
+
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in RAW_SCHEMAS:
+            raise AttributeError(name)
+        return self.raw(name)
