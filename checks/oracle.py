@@ -277,9 +277,10 @@ _PARTS: dict[str, str] = {
                sum(daily_sales_amt)::DOUBLE / count(daily_sales_amt) AS avg_order_value,
                sum(daily_net_profit)::DOUBLE / count(daily_net_profit) AS avg_profit_per_order
         FROM sold GROUP BY customer_sk""",
-    "segments_ranked": """
-        SELECT c_mktsegment AS segment, row_number() OVER (ORDER BY c_mktsegment) AS cd_demo_sk
-        FROM (SELECT DISTINCT c_mktsegment FROM customer)""",
+    "segments": """
+        SELECT DISTINCT c_mktsegment AS segment,
+               CAST(ascii(c_mktsegment) * 256 + ascii(substr(c_mktsegment, 2, 1)) AS BIGINT) AS cd_demo_sk
+        FROM customer""",
     "item_raw": _dimension(
         "item",
         "p_partkey",
@@ -306,7 +307,7 @@ _PARTS: dict[str, str] = {
     "customer_raw": _dimension(
         "customer",
         "c_custkey",
-        "customer JOIN segments_ranked ON c_mktsegment = segment",
+        "customer JOIN segments ON c_mktsegment = segment",
         c_customer_sk="c_custkey",
         c_customer_id="c_name",
         c_current_addr_sk="c_nationkey",
@@ -322,7 +323,7 @@ _PARTS: dict[str, str] = {
         ca_country="r_name",
     ),
     "demographics_raw": _dimension(
-        "customer_demographics", "cd_demo_sk", "segments_ranked", cd_demo_sk="cd_demo_sk", cd_credit_rating="segment"
+        "customer_demographics", "cd_demo_sk", "segments", cd_demo_sk="cd_demo_sk", cd_credit_rating="segment"
     ),
     "household_raw": _dimension(
         "household_demographics",

@@ -18,6 +18,10 @@ def _day_key(day: str) -> str:
     return f"CAST(unix_date({day}) + 2440588 AS BIGINT)"
 
 
+# Key of a market segment, from its first two letters.
+SEGMENT_KEY = "CAST(ascii(c_mktsegment) * 256 + ascii(substr(c_mktsegment, 2, 1)) AS BIGINT)"
+
+
 def _null_if(gap: str, value: str) -> str:
     return f"IF({gap}, NULL, {value})"
 
@@ -216,27 +220,16 @@ class SuppliedTables:
         }
         return self._conform("warehouse", located, "w", columns, "s_suppkey")
 
-    @cached_property
-    def _segments(self) -> DataFrame:
-        """The market segments and their places in alphabetical order."""
-        return (
-            self.table("customer")
-            .select("c_mktsegment")
-            .distinct()
-            .selectExpr("c_mktsegment", "row_number() OVER (ORDER BY c_mktsegment) AS place")
-        )
-
     @cached_property
     def customer(self) -> DataFrame:
-        ranked = self.table("customer").join(self._segments, "c_mktsegment")
         columns = {
             "customer_sk": "c_custkey",
             "customer_id": "c_name",
             "current_addr_sk": "c_nationkey",
-            "current_cdemo_sk": "place",
+            "current_cdemo_sk": SEGMENT_KEY,
             "current_hdemo_sk": "c_custkey % 20",
         }
-        return self._conform("customer", ranked, "c", columns, "c_custkey")
+        return self._conform("customer", self.table("customer"), "c", columns, "c_custkey")
 
     @cached_property
     def customer_address(self) -> DataFrame:
@@ -245,8 +238,9 @@ class SuppliedTables:
 
     @cached_property
     def customer_demographics(self) -> DataFrame:
+        segments = self.table("customer").selectExpr(f"{SEGMENT_KEY} AS place", "c_mktsegment").distinct()
         columns = {"demo_sk": "place", "credit_rating": "c_mktsegment"}
-        return self._conform("customer_demographics", self._segments, "cd", columns, "place")
+        return self._conform("customer_demographics", segments, "cd", columns, "place")
 
     @cached_property
     def household_demographics(self) -> DataFrame:
