@@ -53,9 +53,9 @@ def _record_id(page_id: int | None, digest: str) -> str:
 def _record(row: dict) -> bytes:
     """One record, uncompressed; digests and lengths are computed from its content."""
     revisit = row["refers_to"] is not None
-    payload = b"" if revisit else (row["html"] or "").encode()
-    digest = row["digest"] if revisit else hashlib.sha1(payload).hexdigest()
-    size = row["size"] if revisit else len(payload)
+    payload = (row["html"] or "").encode()
+    digest, size = hashlib.sha1(payload).hexdigest(), len(payload)
+    payload = b"" if revisit else payload
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size + payload
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
@@ -78,28 +78,31 @@ def _record(row: dict) -> bytes:
 
 
 def classified(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
-    """``page_id, url, html, size, digest, refers_to``; the html of revisits is null.
+    """Pages and, ahead of them in the archive's order, notes on which of them are revisits.
+
+    Columns ``page_id, key, note, refers_to, url, html``. A note says that pages of
+    this id and key (payload's hash) refer to another; it has no html. So payloads
+    need not meet their groups: they travel once, to their place in the archive.
 
     Of equal payloads of at least ``revisit_from`` bytes the one with the largest
-    id is written and the others refer to it. Null html is empty. Payloads whose
-    group has no id at all, rows without an id in a group that has one excepted,
-    are written in full, as are rows that repeat the largest id.
+    id is written and the others refer to it. Null html is empty. Rows that repeat
+    the largest id are written in full, as are rows without an id where no row of
+    the group has one.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url"), text_or_empty("html").alias("html")
-    ).select("*", F.octet_length("html").cast("long").alias("size"), F.sha2("html", 256).alias("_key"))
-    groups = rows.where(F.col("size") >= revisit_from).groupBy("_key").agg(
-        F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n")
-    ).where("_n > 1")
-    revisits = F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last"))
-    return rows.join(groups.drop("_n"), "_key", "left").select(
-        "page_id",
-        "url",
-        F.when(~revisits, F.col("html")).alias("html"),
-        "size",
-        F.sha1("html").alias("digest"),
-        F.when(revisits, F.col("_last")).alias("refers_to"),
+    ).withColumn("key", F.sha2("html", 256))
+    slim = rows.where(F.octet_length("html") >= revisit_from).select("page_id", "key")
+    groups = slim.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("_n"))
+    notes = (
+        slim.join(groups.where("_n > 1 AND refers_to IS NOT NULL"), "key")
+        .where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+        .select("page_id", "key", "refers_to")
+        .distinct()
     )
+    return notes.selectExpr(
+        "page_id", "key", "true AS note", "refers_to", "CAST(NULL AS STRING) AS url", "CAST(NULL AS STRING) AS html"
+    ).union(rows.selectExpr("page_id", "key", "false AS note", "CAST(NULL AS BIGINT) AS refers_to", "url", "html"))
 
 
 def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shards: int | None = None) -> DataFrame:
@@ -120,8 +123,13 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES,
             done.append((name, records, held, whole.hexdigest()))
             stream = None
 
+        noted = refers = None
         for batch in batches:
             for row in batch.to_pylist():
+                if row["note"]:  # right before the pages it is about
+                    noted, refers = (row["page_id"], row["key"]), row["refers_to"]
+                    continue
+                row["refers_to"] = refers if (row["page_id"], row["key"]) == noted else None
                 if stream is None:
                     system.create_dir(base, recursive=True)
                     name = f"pages-{shard:06d}-{len(done):05d}.warc.gz"
@@ -141,8 +149,9 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES,
             pa.schema([("file", "string"), ("records", "int64"), ("compressed_bytes", "int64"), ("sha256", "string")]),
         )
 
-    order = [F.col("page_id").asc_nulls_first(), F.col("url"), F.col("digest")]
-    ranged = classified(pages).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    by_id = F.col("page_id").asc_nulls_first()
+    order = [by_id, F.col("key"), F.col("note").desc(), F.col("url")]
+    ranged = classified(pages).repartitionByRange(shards, by_id, F.col("key")).sortWithinPartitions(*order)
     ranged.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
