@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE_BYTES, extended, slices, text_or_empty
+from martloom.llm.common import SLICE_BYTES, extended, slices
 
 ORDERS = (1, 2, 3, 4)
 BINS = 1 << 16
