@@ -32,7 +32,7 @@ from martloom.plans.shared import materialize
 CAPACITY = 4096
 END_ID = 1
 FIT_ROUNDS = 60
-MAX_CACHED_WORDS = 800_000
+MAX_CACHED_WORDS = 250_000
 
 
 class WordTokenizer:
