@@ -1,0 +1,269 @@
+"""All pairs of documents whose sets of word shingles have a Jaccard similarity of 0.8 or more.
+
+Candidates come from a prefix filter, which loses no pair: with the shingles of
+every document in one order, two sets that similar share one of their first
+``n - ceil(0.8 n) + 1``. The order is by hash, with the shingles that many
+documents have put last, the commonest at the very end. Every candidate pair is
+decided on the two whole sets.
+
+Documents that share a shingle are first compared with its earliest holder. What
+that links needs no further comparison, so a large group of near copies costs one
+pair per document and shingle; the other pairs, between groups, are then all
+compared. Common shingles are cut into blocks of documents, and a task gets two
+blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from martloom.llm.common import slices, text_or_empty
+from martloom.llm.components import connected_components
+from martloom.plans.shared import materialize
+
+SHINGLE_WORDS = 5
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+# Shingles that more documents than this have in their prefix go last; so many of them are known at most. Only the
+# order depends on either.
+COMMON = 100
+MOST_COMMON = 200_000
+# Documents of a shingle that are compared as one block.
+BLOCK = 128
+# Differing bits of 128 beyond which sets of FEW_SHINGLES or more are not compared: 7 deviations above those of 0.8.
+LOOSE_BITS = 48
+FEW_SHINGLES = 50
+
+
+def shingle_hashes(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's word shingles; a shorter text is one shingle."""
+    import xxhash
+
+    found = text.encode().lower().split()
+    if not found:
+        return np.zeros(0, dtype=np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    width = min(words, len(found))
+    n = len(found) - width + 1
+    mixed = np.full(n, width, dtype=np.uint64)
+    for k in range(width):
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * MULTIPLIER + hashes[k : k + n]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * MULTIPLIER
+    return np.unique(mixed ^ (mixed >> np.uint64(29)))
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first hashes in the order: those that a similar set must share one of.
+
+    ``common`` are the sorted hashes that go last, by their ``rank``.
+    """
+    if len(common) and len(hashes):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        late = common[at] == hashes
+        hashes = np.concatenate([hashes[~late], common[at[late][np.argsort(rank[at[late]])]]])
+    n = len(hashes)
+    return hashes[: n - (4 * n + 4) // 5 + 1] if n else hashes
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of at least 0.8."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 9 * shared >= 4 * (len(a) + len(b))
+
+
+def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (sorted), ranks and counts of the shingles that many documents have in their prefix by hash alone."""
+    none = np.zeros(0, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [prefix(shingle_hashes(t), none, none) for t in batch.column("text").to_pylist()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["token"])
+
+    counts = texts.select("text").mapInArrow(run, "token long").groupBy("token").count()
+    found = counts.where(F.col("count") > COMMON).orderBy(F.desc("count"), "token").limit(MOST_COMMON).toArrow()
+    tokens = found.column("token").to_numpy().view(np.uint64)
+    count = found.column("count").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], (len(tokens) - order).astype(np.int64), count[order]
+
+
+def _shared_tokens(texts: DataFrame) -> DataFrame:
+    """``token, id, n, pos, block, blocks``: prefix shingles of at least two documents.
+
+    ``n`` is the size of the document's set, ``pos`` the shingle's place in its prefix.
+    """
+    common, rank, counts = _common(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = [shingle_hashes(t) for t in batch.column("text").to_pylist()]
+            heads = [prefix(s, common, rank) for s in sets]
+            sizes = [len(h) for h in heads]
+            if not sum(sizes):
+                continue
+            tokens = np.concatenate(heads)
+            blocks = np.zeros(len(tokens), dtype=np.int32)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+                blocks = np.where(common[at] == tokens, -(-counts[at] // BLOCK), 0).astype(np.int32)
+            ids = np.repeat(batch.column("id").to_numpy(), sizes)
+            dealt = ((ids.view(np.uint64) * MULTIPLIER) >> np.uint64(40)).astype(np.int64)
+            arrays = [
+                tokens.view(np.int64),
+                ids,
+                np.repeat(np.array([len(s) for s in sets], dtype=np.int32), sizes),
+                np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]),
+                (dealt % np.maximum(blocks, 1)).astype(np.int32),
+                blocks,
+            ]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names)
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows sorted by token, those whose token repeats, in blocks; rows that have blocks pass."""
+
+        def groups(rows: list[np.ndarray]) -> pa.RecordBatch:
+            _, first, size = np.unique(rows[0], return_index=True, return_counts=True)
+            place = np.arange(len(rows[0])) - np.repeat(first, size)
+            size = np.repeat(size, size)
+            cold = rows[5] == 0
+            rows[4] = np.where(cold, place // BLOCK, rows[4]).astype(np.int32)
+            rows[5] = np.where(cold, -(-size // BLOCK), rows[5]).astype(np.int32)
+            keep = ~cold | (size > 1)
+            return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in rows], names)
+
+        rest = None
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not len(new[0]):
+                continue
+            new = new if rest is None else [np.concatenate(c) for c in zip(rest, new, strict=True)]
+            whole = np.searchsorted(new[0], new[0][-1])
+            if whole:
+                yield groups([c[:whole] for c in new])
+            rest = [c[whole:] for c in new]
+        if rest is not None:
+            yield groups(rest)
+
+    names = ["token", "id", "n", "pos", "block", "blocks"]
+    schema = "token long, id long, n int, pos int, block int, blocks int"
+    tokens = texts.mapInArrow(run, schema)
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Common shingles are dealt out by block, so that none of them goes whole to one task.
+    dealt = tokens.repartition(parts, "token", "block").sortWithinPartitions("token")
+    return materialize(dealt.mapInArrow(repeated, schema), "shared_shingles")
+
+
+def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a, b``: documents of different groups (``node, root``) that share a shingle of their prefixes.
+
+    Left out are pairs whose sizes, or whose shingles from the shared one on, rule out the similarity.
+    """
+    grouped = shared.join(roots, shared.id == roots.node, "left").withColumn("root", F.coalesce("root", "id"))
+    grouped = materialize(grouped.drop("node"), "grouped_shingles")
+    split = grouped.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    meeting = grouped.join(split.select("token"), "token", "left_semi").select("*", other)
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    meeting = meeting.select("token", low, high, "id", "n", "pos", "block", "root")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compare(token, low, high, ids, n, pos, block, root) -> Iterator[pa.RecordBatch]:
+            at, step = np.arange(len(token)), 1
+            while len(at):
+                at = at[at + step < len(token)]
+                to = at + step
+                same = (token[at] == token[to]) & (low[at] == low[to]) & (high[at] == high[to])
+                at, to = at[same], to[same]
+                fits = (root[at] != root[to]) & ((low[at] == high[at]) | (block[at] != block[to]))
+                fits &= 5 * np.minimum(n[at], n[to]) >= 4 * np.maximum(n[at], n[to])
+                left = np.minimum(n[at] - pos[at], n[to] - pos[to])
+                fits &= 9 * left >= 4 * (n[at] + n[to])
+                if fits.any():
+                    x, y = ids[at[fits]], ids[to[fits]]
+                    pairs = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
+                    yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+                step += 1
+
+        rest = None
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            new = [c.astype(np.int64) for c in new]
+            if not len(new[0]):
+                continue
+            new = new if rest is None else [np.concatenate(c) for c in zip(rest, new, strict=True)]
+            last = (new[0] != new[0][-1]) | (new[1] != new[1][-1]) | (new[2] != new[2][-1])
+            whole = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+            yield from compare(*(c[:whole] for c in new))
+            rest = [c[whole:] for c in new]
+        if rest is not None:
+            yield from compare(*rest)
+
+    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["token", "low", "high"]
+    dealt = meeting.repartition(parts, *keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """``id, hashes``: the sorted hashes of every text, 8 bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [shingle_hashes(t).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "hashes"])
+
+    return texts.mapInArrow(run, "id long, hashes binary")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets of shingles have a Jaccard similarity of at least 0.8, written."""
+
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "check0", "check1")])
+
+    def apart(column: str) -> Column:
+        return F.bit_count(F.col(f"a_{column}").bitwiseXOR(F.col(f"b_{column}")))
+
+    few, many = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
+    close = (few < FEW_SHINGLES) | (apart("check0") + apart("check1") <= LOOSE_BITS)
+    likely = pairs.join(side("a"), "a").join(side("b"), "b").where((5 * few >= 4 * many) & close)
+    likely = materialize(likely.select("a", "b"), "likely_pairs")
+    ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
+    sets = materialize(_sets(texts.join(ids, "id", "left_semi")), "shingle_sets")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("a_set"), batch.column("b_set")
+            found = [
+                similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                for x, y in zip(left, right, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    a, b = (sets.select(F.col("id").alias(c), F.col("hashes").alias(f"{c}_set")) for c in "ab")
+    both = likely.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set")
+    return materialize(both.mapInArrow(run, "a long, b long"), "verified_pairs")
+
+
+def similar_groups(texts: DataFrame, nodes: DataFrame, first_pairs: DataFrame) -> DataFrame:
+    """``node, root`` for every document that is not the smallest of its group under chains of similar pairs.
+
+    Args:
+        texts: long ``id``, unique; ``text``.
+        nodes: the same ``id``; ``n``, the size of its set; ``check0`` and ``check1``, 128 bits of SimHash.
+        first_pairs: candidates ``a < b`` to compare before all others; any.
+    """
+    texts = texts.select("id", text_or_empty().alias("text"))
+    shared = _shared_tokens(texts)
+    firsts = shared.groupBy("token").agg(F.min("id").alias("a"))
+    stars = shared.join(firsts, "token").where("id <> a").select("a", F.col("id").alias("b"))
+    tested = materialize(first_pairs.select("a", "b").union(stars).distinct(), "first_pairs")
+    linked = verified(tested, texts, nodes)
+    rest = _across(shared, connected_components(linked)).join(tested, ["a", "b"], "left_anti")
+    return connected_components(linked.union(verified(rest, texts, nodes)))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import numbered, slices, text_or_empty
 from martloom.llm.components import connected_components, star_edges
+from martloom.llm.jaccard import shingle_hashes, similar_groups
 from martloom.plans.shared import materialize
 
 WORDS = 4
@@ -285,31 +286,68 @@ def document_prints(text: str) -> tuple[np.ndarray, bytes]:
     return _majority(by_word), _majority(by_shingle).tobytes()
 
 
+def key_pairs(nodes: DataFrame, prints: tuple[str, ...], max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """Pairs ``a < b`` of nodes (long ``id``, long ``prints``): each node with the smallest one under each of its keys.
+
+    Kept are pairs whose prints differ in at most ``max_distance`` bits. A key gives
+    one pair per node and its nodes never meet in a task, however many have it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = GolayDecoder()
+        for batch in batches:
+            for number, name in enumerate(prints):
+                found = batch.column(name).to_numpy(zero_copy_only=False)
+                rows, keys = fuzzy_keys(found.view(np.uint64), decoder)
+                columns = [batch.column(c).take(pa.array(rows)) for c in ("id", name)]
+                keys = pa.array((keys + number * (3 << 24)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([keys, *columns], ["key", "id", "fp"])
+
+    keys = nodes.select("id", *prints).mapInArrow(run, "key int, id long, fp long")
+    firsts = keys.groupBy("key").agg(F.min(F.struct("id", "fp")).alias("first"))
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("first.fp"))) <= max_distance
+    met = keys.join(firsts, "key").where((F.col("id") != F.col("first.id")) & near)
+    return met.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
 def drop_near_copies(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` with one document, the one of smallest id, of each group of near copies.
 
-    Near copies share about 0.8 or more of their word shingles: 128 bits of SimHash
-    over the shingles are compared. Candidates come from fingerprints of the long
-    words, in which near copies differ by few bits. Groups are closed under chains
-    of links. Texts without words (null, empty, white space) are copies of each
-    other. Rows that repeat an id are separate documents, null ids come first;
-    columns are unchanged and an empty table stays empty.
+    Near copies are documents whose sets of five-word shingles have a Jaccard
+    similarity of at least 0.8; all such pairs are found and every one is decided
+    on the whole sets (``jaccard.py``). Fingerprints of the long words, in which
+    near copies differ by few bits, give the candidates that are compared first.
+    Groups are closed under chains of such pairs. Texts without words (null, empty,
+    white space) are copies of each other. Rows that repeat an id are separate
+    documents, null ids come first; columns are unchanged and an empty table stays
+    empty.
     """
     rows = numbered(docs, id_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in slices(batches, "text"):
-            found = [document_prints(t) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            found = [document_prints(t) for t in texts]
+            sets = [shingle_hashes(t) for t in texts]
             words = np.array([w for w, _ in found], dtype=np.uint64).view(np.int64).reshape(-1, len(CANDIDATE_SEEDS))
+            checks = np.frombuffer(b"".join(c for _, c in found), dtype="<i8").reshape(-1, 2)
             columns = [batch.column("__row"), *[pa.array(words[:, i].copy()) for i in range(len(CANDIDATE_SEEDS))]]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([c for _, c in found], pa.binary())], ["__row", *names, "check"]
-            )
+            columns += [pa.array(checks[:, i].copy()) for i in range(2)]
+            columns += [
+                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                pa.array([len(s) for s in sets], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["__row", *names, "check0", "check1", "whole", "n"])
 
     names = [f"fp{i}" for i in range(len(CANDIDATE_SEEDS))]
-    schema = "__row long, " + "".join(f"{n} long, " for n in names) + "check binary"
+    schema = "__row long, " + "".join(f"{n} long, " for n in names) + "check0 long, check1 long, whole binary, n int"
     printed = rows.select("__row", text_or_empty().alias("text")).mapInArrow(run, schema)
-    nodes = materialize(printed.groupBy(*names, "check").agg(F.min("__row").alias("id")), "near_copies")
-    stars = connected_components(linked(nodes, tuple(names), MAX_DISTANCE, SIMILAR_BITS))
-    kept = nodes.join(stars, nodes.id == stars.node, "left_anti").select(F.col("id").alias("__row"))
+    # Documents with the same shingles are one node.
+    nodes = printed.groupBy(*names, "check0", "check1", "whole", "n").agg(F.min("__row").alias("id"))
+    nodes = materialize(nodes.drop("whole"), "near_copies")
+    texts = rows.select(F.col("__row").alias("id"), "text").join(nodes.select("id"), "id", "left_semi")
+    groups = similar_groups(texts, nodes, key_pairs(nodes, tuple(names)))
+    kept = nodes.join(groups, nodes.id == groups.node, "left_anti").select(F.col("id").alias("__row"))
     return rows.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

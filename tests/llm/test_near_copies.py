@@ -1,0 +1,76 @@
+"""Near copies against the Jaccard similarity of all pairs."""
+
+import random
+
+import pytest
+
+from martloom.llm import jaccard, simhash
+from tests.llm.test_dedup import union_find
+
+LONG = [f"longvocable{i:04d}" for i in range(3000)]
+SHORT = [f"w{i}" for i in range(3000)]
+
+
+def shingles(text, width=5):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def expected(texts):
+    ids = sorted(texts)
+    sets = [shingles(texts[i]) for i in ids]
+    pairs = []
+    for x in range(len(ids)):
+        for y in range(x):
+            shared = len(sets[x] & sets[y])
+            if 9 * shared >= 4 * (len(sets[x]) + len(sets[y])):
+                pairs.append((x, y))
+    root = union_find(len(ids), pairs)
+    return [i for k, i in enumerate(ids) if root[k] == k]
+
+
+def kept(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    return sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect())
+
+
+def words(rng, n):
+    return [rng.choice(LONG if rng.random() < 0.15 else SHORT) for _ in range(n)]
+
+
+def planted(rng, pairs):
+    """Pairs of a text and its copy with a passage added, cut, or with words substituted; near 0.8 on both sides."""
+    texts = {}
+    for k in range(pairs):
+        own = words(rng, rng.choice([12, 40, 300]))
+        share = rng.uniform(0.02, 0.25)
+        part = max(1, int(share * len(own)))
+        if k % 3 == 0:
+            copy = own + words(rng, part)
+        elif k % 3 == 1:
+            at = rng.randrange(len(own) - part)
+            copy = own[:at] + own[at + part :]
+        else:
+            copy = list(own)
+            for at in rng.sample(range(len(own)), max(1, part // 5)):
+                copy[at] = rng.choice(LONG)
+        texts[2 * k], texts[2 * k + 1] = " ".join(own), " ".join(copy)
+    return texts
+
+
+def test_every_planted_pair_of_similarity_0_8_is_found_and_no_other(spark):
+    texts = planted(random.Random(5), 150)
+    assert kept(spark, texts) == expected(texts)
+
+
+@pytest.mark.parametrize("common", [2, 100])
+def test_common_shingles_in_blocks(spark, monkeypatch, common):
+    """Shingles that are put last and cut into blocks lose no pair."""
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rng = random.Random(7)
+    base, other = words(rng, 100), words(rng, 60)
+    texts = {k: " ".join(base + words(rng, 15 + k % 15)) for k in range(30)}
+    texts |= {50 + k: " ".join(other + words(rng, 12 + k)) for k in range(10)}
+    texts |= {80: " ".join(base), 81: " ".join(base), 82: "", 83: " ", 84: "one two", 85: "one two", 86: "one"}
+    assert kept(spark, texts) == expected(texts)
