@@ -63,6 +63,20 @@ def test_every_planted_pair_of_similarity_0_8_is_found_and_no_other(spark):
     assert kept(spark, texts) == expected(texts)
 
 
+def test_templates_below_0_8_stay(spark):
+    """Documents that share their long words and most shingles, at similarities on both sides of 0.8."""
+    rng = random.Random(6)
+    base = words(rng, 300)
+    texts = {}
+    for k in range(40):
+        own = list(base)
+        at = rng.randrange(200)
+        own[at : at + 24 + k % 12] = [rng.choice(SHORT) for _ in range(24 + k % 12)]
+        texts[k] = " ".join(own)
+    texts |= {100 + k: t for k, t in planted(rng, 20).items()}
+    assert kept(spark, texts) == expected(texts)
+
+
 @pytest.mark.parametrize("common", [2, 100])
 def test_common_shingles_in_blocks(spark, monkeypatch, common):
     """Shingles that are put last and cut into blocks lose no pair."""
