@@ -1,8 +1,10 @@
 """Line deduplication by pairwise alignment.
 
-Documents that overlap are found through the hashes of lines they share: every
-repeated line sends its later holders to its earliest one, so a line gives one
-pair per document, not one per two documents, however common it is. The two
+Documents that overlap are found through the hashes of lines and of runs of lines
+they share: every repeated one sends its later holders to its earliest one, so it
+gives one pair per document, not one per two documents, however common it is. The
+runs are those that just reach the least size of a block, from every line on and
+up to every line, all of 2, 4, 8 ... lines, and the whole document. The two
 documents of a pair are aligned by patience diff, anchored on lines that are
 unique (the rarest) in both, and aligned blocks are deleted from the later one.
 """
@@ -22,6 +24,9 @@ from martloom.plans.shared import materialize
 
 # Blocks with fewer characters than this are left alone: headings, greetings, separators.
 MIN_BLOCK_CHARS = 50
+# An odd number and its inverse modulo 2**64, for hashes of runs.
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -113,17 +118,50 @@ def _sequences(docs: DataFrame) -> DataFrame:
     return docs.select("__row", text_or_empty().alias("text")).mapInArrow(run, "__row long, keys binary, chars binary")
 
 
-def _line_keys(sequences: DataFrame) -> DataFrame:
-    """``key, __row``: the first half of each line's hash, once per document."""
+def run_keys(lines: np.ndarray, chars: np.ndarray, min_chars: int) -> np.ndarray:
+    """Hashes of runs of two or more lines with ``min_chars`` or more, from hashes and lengths of the lines.
+
+    A block that two documents share is covered by runs of least size in it, so
+    the earliest holder of each has that part of the block whole.
+    """
+    n = len(lines)
+    ends = np.concatenate([[0], np.cumsum(chars, dtype=np.int64)])
+    every = np.arange(n + 1)
+    until = np.searchsorted(ends, ends + min_chars)
+    since = np.searchsorted(ends, ends - min_chars, side="right") - 1
+    starts = [every[until <= n], since[since >= 0], [0]]
+    stops = [until[until <= n], every[since >= 0], [n]]
+    length = 2
+    while length < n:
+        starts.append(every[: n - length + 1])
+        stops.append(every[length:])
+        length *= 2
+    start, stop = np.concatenate(starts).astype(np.int64), np.concatenate(stops).astype(np.int64)
+    keep = (stop - start > 1) & (ends[stop] - ends[start] >= min_chars)
+    start, stop = start[keep], stop[keep]
+    with np.errstate(over="ignore"):
+        power = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(n, MULTIPLIER))])
+        inverse = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(n, INVERSE))])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(lines.view(np.uint64) * power[:n], dtype=np.uint64)])
+        mixed = (sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * MULTIPLIER
+    return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
+
+
+def _line_keys(sequences: DataFrame, min_chars: int) -> DataFrame:
+    """``key, __row``: the first half of each line's hash, and the hashes of runs, once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            halves = [np.unique(np.frombuffer(k, dtype="<i8")[::2]) for k in batch.column("keys").to_pylist()]
-            if halves:
-                rows = np.repeat(batch.column("__row").to_numpy(), [len(h) for h in halves])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(halves)), pa.array(rows)], ["key", "__row"])
+            keys = []
+            for own, chars in zip(batch.column("keys").to_pylist(), batch.column("chars").to_pylist(), strict=True):
+                lines = np.frombuffer(own, dtype="<i8")[::2].copy()
+                keys.append(np.unique(np.concatenate([lines, run_keys(lines, np.frombuffer(chars, "<u4"), min_chars)])))
+            if keys:
+                rows = np.repeat(batch.column("__row").to_numpy(), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(rows)], ["key", "__row"])
 
-    return sequences.select("__row", "keys").mapInArrow(run, "key long, __row long")
+    return sequences.select("__row", "keys", "chars").mapInArrow(run, "key long, __row long")
 
 
 def _aligned(pairs: DataFrame, min_chars: int) -> DataFrame:
@@ -172,7 +210,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_BLOCK_CHARS, id_column: str
     """
     rows = numbered(docs, id_column)
     sequences = materialize(_sequences(rows), "line_sequences")
-    lines = _line_keys(sequences)
+    lines = _line_keys(sequences, min_chars)
     holders = lines.groupBy("key").agg(F.min("__row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = lines.join(holders, "key").where("first <> __row").select("first", "__row").distinct()
     both = pairs.join(sequences, "__row").join(
