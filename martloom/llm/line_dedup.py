@@ -6,7 +6,7 @@ gives one pair per document, not one per two documents, however common it is. Th
 runs are those that just reach the least size of a block, from every line on and
 up to every line, all of 2, 4, 8 ... lines, and the whole document. The two
 documents of a pair are aligned by patience diff, anchored on lines that are
-unique (the rarest) in both, and aligned blocks are deleted from the later one.
+unique (else the rarest) in both, and aligned blocks are deleted from the later one.
 """
 
 from __future__ import annotations
@@ -55,6 +55,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
 
     Common ends are matched; between them the lines unique in both ranges, in their
     longest common order, split the ranges, and each piece is treated the same way.
+    Where no line is unique in both, the rarest common one splits them, its places
+    taken in order.
     """
     pairs: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -78,7 +80,17 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
         common = sorted((once_a[v], j) for v, j in once_b.items() if j >= 0)
         chosen = [common[i] for i in increasing([j for _, j in common])]
         if not chosen:
-            continue
+            places_a: dict[int, list[int]] = {}
+            places_b: dict[int, list[int]] = {}
+            for i in range(alow, ahigh):
+                places_a.setdefault(a[i], []).append(i)
+            for j in range(blow, bhigh):
+                if b[j] in places_a:
+                    places_b.setdefault(b[j], []).append(j)
+            if not places_b:
+                continue
+            rarest = min(places_b, key=lambda v: (len(places_a[v]) * len(places_b[v]), places_a[v][0]))
+            chosen = list(zip(places_a[rarest], places_b[rarest], strict=False))
         pairs += chosen
         last = (alow, blow)
         for i, j in [*chosen, (ahigh, bhigh)]:
@@ -201,7 +213,12 @@ def without_spans(text: str, spans: list[bytes]) -> tuple[str, int, int]:
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_BLOCK_CHARS, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with ``text`` cleared of lines that an earlier document has, and ``__n_lines, __n_removed``.
+    """``docs`` with ``text`` cleared of repeated blocks of lines, and ``__n_lines, __n_removed``.
+
+    Deleted are the blocks of consecutive lines, of ``min_chars`` or more, that
+    align with the earliest holder of one of the document's lines or runs of lines.
+    An alignment keeps the order of both documents, so of lines that an earlier
+    one has in another order, or of a passage that occurs more often, some may stay.
 
     Earlier is the smaller id; rows that repeat an id are separate documents, and
     null ids come first. Lines are compared without surrounding white space and

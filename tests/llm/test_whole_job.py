@@ -52,3 +52,7 @@ def test_random_passages_of_short_lines(spark):
         texts[i] = "\n".join(own)
     got = {r.doc_id: r.text for r in line_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert got == against_all_pairs(texts)
+
+
+def test_patience_without_unique_lines():
+    assert patience([1, 2, 3], [9, 1, 2, 3, 8, 1, 2, 3, 7]) == [(0, 1, 3)]
