@@ -54,12 +54,13 @@ class LanguageModel:
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """At most ``per_language`` rows of each ``lang``, by a hash of the text; counts first, so few rows are ranked."""
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    """At most ``per_language`` different texts of each ``lang``, by hash; counts first, so few rows are ranked."""
+    different = labelled.select("lang", F.xxhash64("text").alias("_hash")).distinct()
+    counts = different.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     likely = labelled.join(F.broadcast(counts) if counts.count() <= 10_000 else counts, "lang").where(
         chance * F.col("_n") < 2.0 * per_language
-    )
+    ).select("lang", "text").distinct()
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
     return likely.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= per_language)
 
@@ -73,8 +74,8 @@ def train(
     """Learn from columns ``text`` and ``lang``; rows without either are left out.
 
     Presence vectors are made by the executors; at most ``per_language`` of them
-    per language, of ``BINS`` bits each, come to the driver. Texts repeated exactly
-    may take several of these places. No rows give a model without languages.
+    per language, of ``BINS`` bits each, come to the driver. A text repeated exactly
+    takes one of these places. No rows give a model without languages.
     """
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string"))
 

@@ -1,9 +1,10 @@
-"""Lines against all pairs of documents."""
+"""Lines against all pairs of documents; languages with few texts or none."""
 
 import random
 
 import numpy as np
 
+from martloom.llm import langid
 from martloom.llm.line_dedup import MIN_BLOCK_CHARS, line_dedup, patience, without_spans
 from tests.llm.conftest import prose
 
@@ -56,3 +57,11 @@ def test_random_passages_of_short_lines(spark):
 
 def test_patience_without_unique_lines():
     assert patience([1, 2, 3], [9, 1, 2, 3, 8, 1, 2, 3, 7]) == [(0, 1, 3)]
+
+
+def test_a_language_of_many_copies_is_learned(spark):
+    """Every language keeps min(400, its different texts) rows, however many copies there are."""
+    rows = [("one copied text", f"l{k}") for k in range(20) for _ in range(1500)]
+    rows = [(f"{t} {lang}", lang) for t, lang in rows] + [(f"few {i} {k}", f"l{k}") for k in range(20) for i in range(5)]
+    sample = langid._sample(spark.createDataFrame(rows, "text string, lang string"), 400).collect()
+    assert sorted((r.lang, r.text) for r in sample) == sorted({(lang, t) for t, lang in rows})
