@@ -174,7 +174,12 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.0) -> DataFrame:
-    """Rows of ``docs`` whose language was found with at least ``min_score``; columns unchanged."""
+    """Rows of ``docs`` whose language was found with at least ``min_score``; columns unchanged.
+
+    If no language could be learned, rows whose text has a letter.
+    """
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     found = classify(docs, model, columns, added=("__lang", "__score"))
     return found.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*columns)

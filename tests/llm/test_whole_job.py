@@ -65,3 +65,9 @@ def test_a_language_of_many_copies_is_learned(spark):
     rows = [(f"{t} {lang}", lang) for t, lang in rows] + [(f"few {i} {k}", f"l{k}") for k in range(20) for i in range(5)]
     sample = langid._sample(spark.createDataFrame(rows, "text string, lang string"), 400).collect()
     assert sorted((r.lang, r.text) for r in sample) == sorted({(lang, t) for t, lang in rows})
+
+
+def test_documents_stay_when_no_language_was_learned(messy):
+    model = langid.train(messy.where("false"))
+    kept = [r.text for r in langid.keep_identified(messy, model).collect()]
+    assert len(kept) == 13 and all(t and any(c.isalpha() for c in t) for t in kept)
