@@ -88,3 +88,10 @@ def test_common_shingles_in_blocks(spark, monkeypatch, common):
     texts |= {50 + k: " ".join(other + words(rng, 12 + k)) for k in range(10)}
     texts |= {80: " ".join(base), 81: " ".join(base), 82: "", 83: " ", 84: "one two", 85: "one two", 86: "one"}
     assert kept(spark, texts) == expected(texts)
+
+
+def test_key_pairs_grow_with_the_nodes(spark):
+    """Many nodes of one fingerprint: one pair each, not one for every two."""
+    nodes = spark.createDataFrame([(i, 12345, 99 + i % 2) for i in range(300)], "id long, fp0 long, fp1 long")
+    pairs = {tuple(r) for r in simhash.key_pairs(nodes, ("fp0", "fp1")).collect()}
+    assert {(0, i) for i in range(1, 300)} <= pairs and len(pairs) < 2 * 300
