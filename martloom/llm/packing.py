@@ -15,8 +15,6 @@ no length, however frequent, meets in one task.
 
 from __future__ import annotations
 
-import json
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -27,104 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import extended, kept, slices, text_or_empty
+from martloom.llm.word_ids import WordTokenizer
 from martloom.plans.shared import materialize
 
 CAPACITY = 4096
 END_ID = 1
 FIT_ROUNDS = 60
-MAX_CACHED_WORDS = 250_000
-
-
-class WordTokenizer:
-    """Ids of a tokenizer file, remembered by word.
-
-    The tokenizer drops white space between words, so a text is cut at spaces and
-    line ends. Plain Latin words skip the normaliser, which would only lower-case
-    them, and go to the tokenizer's merges many at a time; all other chunks pass
-    through the whole tokenizer.
-    """
-
-    # Lower-case letters that NFC leaves alone, with marks after them.
-    _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]*)").fullmatch
-    # Beyond these letters, lower-casing may depend on what stands around them.
-    _FOREIGN = re.compile(r"[^\x00-\u024f]").search
-    # Stops and commas beside other marks, with which they form one piece.
-    _CROWDED = re.compile(r"[.,](?:(?=[^\w\s]|_)|(?<=[^\w\s].)|(?<=_.))").search
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        parts = json.loads(self.whole.to_str())
-        parts.update(normalizer=None, pre_tokenizer=None, post_processor=None, added_tokens=[])
-        self.merges = Tokenizer.from_str(json.dumps(parts))
-        vocabulary = parts["model"]["vocab"]
-        suffix = parts["model"]["end_of_word_suffix"]
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def _fast(tokenizer, texts: list, **how) -> list[list[int]]:
-        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False, **how)]
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Ids of lower-case words; the last token of each, and no other, ends a word."""
-        spelled = [w if w.isascii() else w.encode().decode("latin1").translate(self.letters) for w in words]
-        ids = np.array(self._fast(self.merges, [spelled], is_pretokenized=True)[0], dtype="<u4")
-        ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
-        raw, start = ids.tobytes(), 0
-        for word, end in zip(words, ends, strict=True):
-            self.known[word] = raw[start:end]
-            start = end
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain, other = [], []
-        for chunk in chunks:
-            match = self._PLAIN(chunk)
-            if match:
-                word, marks = match.groups()
-                plain.append((chunk, word, marks))
-            else:
-                other.append(chunk)
-        words = self.known
-        new = {w for _, word, marks in plain for w in (word, marks) if w not in words}
-        new.discard("")
-        if new:
-            self._learn_words(list(new))
-        for chunk, word, marks in plain:
-            if marks:
-                self.known[chunk] = words[word] + words[marks]
-        for chunk, ids in zip(other, self._fast(self.whole, other), strict=True):
-            self.known[chunk] = np.array(ids, dtype="<u4").tobytes()
-
-    def _prepared(self, text: str) -> str:
-        """The text lower-cased, stops and commas set apart, where that leaves its tokens as they are."""
-        if not text.isascii() and self._FOREIGN(text):
-            return text
-        text = text.lower()
-        return text if self._CROWDED(text) else text.replace(".", " . ").replace(",", " , ")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        chunked = [self._prepared(t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > MAX_CACHED_WORDS:
-            self.known = {}
-        self.known[""] = b""
-        new = [c for c in set().union(*chunked) if c not in self.known]
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in chunked]
-
-
-def _byte_letters() -> dict[int, int]:
-    """The letters that byte-level vocabularies write for bytes: printable bytes stand for themselves."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in printable]
-    return {b: 256 + i for i, b in enumerate(others)}
 
 
 def token_pieces(
@@ -146,7 +52,7 @@ def token_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = kept(f"words of {tokenizer_path}", lambda: WordTokenizer(tokenizer_path))
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             doc, piece, start, length, crc, stored = [], [], [], [], [], []
             texts = batch.column("text").to_pylist()
             for row, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(texts), strict=True):

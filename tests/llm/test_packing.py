@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -6,7 +7,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from martloom.llm.packing import WordTokenizer, exact_patterns, pack_documents, plan_packing
+from martloom.llm import word_ids
+from martloom.llm.packing import exact_patterns, pack_documents, plan_packing
+from martloom.llm.word_ids import WordTokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -59,6 +62,44 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@cache
+def _tokenizers():
+    return WordTokenizer(PATH), Tokenizer.from_file(PATH)
+
+
+words = st.text(alphabet="abhinorstxyzéñüßÉA012.,!$_'-\n ", max_size=40)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(words, max_size=6))
+def test_ids_of_any_chunks(texts):
+    tokenizer, whole = _tokenizers()
+    for text, ids in zip(texts, tokenizer.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_vocabulary_encodes_to_itself():
+    """Every token is what its own letters merge to, which ranks of whole tokens rely on."""
+    tokenizer, whole = WordTokenizer(PATH), Tokenizer.from_file(PATH)
+    spelled = [t.removesuffix("</w>") for t in whole.get_vocab() if t.endswith("</w>")]
+    plain = [t for t in spelled if t.isalpha() and t.isascii() and t.islower()]
+    assert len(plain) > 10_000
+    ids = tokenizer.encode([" ".join(plain)])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == [whole.token_to_id(t + "</w>") for t in plain]
+
+
+def test_long_texts_and_forgotten_words(monkeypatch):
+    whole, text = Tokenizer.from_file(PATH), "abc, déf! " * 400 + "End."
+    monkeypatch.setattr(word_ids, "PART_CHARS", 37)
+    monkeypatch.setattr(word_ids, "MAX_CACHED_WORDS", 2)
+    tokenizer = WordTokenizer(PATH)
+    for _ in range(2):
+        ids = tokenizer.encode([text, "x" * 100, "Wort"])
+        assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [
+            whole.encode(t, add_special_tokens=False).ids for t in (text, "x" * 100, "Wort")
+        ]
+
+
 def test_messy_documents(messy, nothing):
     whole = Tokenizer.from_file(PATH)
     rows = pack_documents(messy, PATH, capacity=256, keep_ids=True).collect()
