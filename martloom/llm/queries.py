@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, chat, exact_dedup, langid, line_dedup, packing, simhash, substring_dedup, warc
+from martloom.llm import (
+    ann,
+    bpe,
+    chat,
+    exact_dedup,
+    langid,
+    line_dedup,
+    mixture,
+    packing,
+    prefix_trie,
+    simhash,
+    source_audit,
+    substring_dedup,
+    warc,
+)
 from martloom.llm.common import table
 from martloom.plans.shared import shared_path
 
@@ -65,6 +79,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(docs, langid.train(docs.where(~langid.held_out())))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixture.pack_mixture(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -76,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_mixture_packing": op12_mixture_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -95,4 +125,6 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT page_id, strlen(html) AS size, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS last
               FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
     """,
+    "op11_source_divergence": source_audit.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
