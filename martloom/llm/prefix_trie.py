@@ -321,7 +321,7 @@ def prefix_trie(turns: DataFrame, max_width: int = MAX_WIDTH) -> DataFrame:
     below = _with_parent(nodes.where("NOT up_alone AND depth > 1"), nodes).select(*own.columns)
     exact = own.union(below).join(sums, _KEY).join(above, _KEY, "left").select(
         *_KEY, "conv_id", "depth", "parent_conv_id", "n_convs", "n_leaves",
-        (F.col("below") - F.coalesce("above", zero)).alias("saved_tokens"),
+        F.when(F.col("n_convs") > 1, F.col("below") - F.col("above")).otherwise(zero).alias("saved_tokens"),
     )
     ends = _ends(maybe.where("last").select(*_KEY, "conv_id").union(
         weights.where("length = 0").select(zero.alias("p1"), zero.alias("p2"), "conv_id")
