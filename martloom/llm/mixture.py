@@ -36,16 +36,29 @@ BLOCK_ROUNDS = 256
 GROUP_BLOCKS = 4096
 
 
+def id_type(tokenizer_path: str, end_id: int = END_ID) -> str:
+    """Numpy type in which ids of a tokenizer file travel: two bytes if all fit, else four."""
+    from tokenizers import Tokenizer
+
+    largest = max(end_id, *Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values())
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def queued_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, source, doc_tokens, ids, _row``, stored; ``_row`` is the order in which documents queue up."""
+    """``doc_id, source, doc_tokens, ids, _row``, stored; ``_row`` is the order in which documents queue up.
+
+    ``ids`` are little-endian, as wide as the vocabulary asks for (``id_type``).
+    """
+    stored_as = id_type(tokenizer_path, end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = kept(f"words of {tokenizer_path}", lambda: WordTokenizer(tokenizer_path))
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches, "text", 4 << 20):
-            ids = [found + end for found in tokenizer.encode(batch.column("text").to_pylist())]
-            counts = pa.array([len(found) // 4 for found in ids], pa.int64())
-            columns = [batch.column("doc_id"), batch.column("source"), counts, pa.array(ids, pa.binary())]
+            ids = [np.frombuffer(found + end, "<u4") for found in tokenizer.encode(batch.column("text").to_pylist())]
+            counts = pa.array([len(found) for found in ids], pa.int64())
+            stored = pa.array([found.astype(stored_as).tobytes() for found in ids], pa.binary())
+            columns = [batch.column("doc_id"), batch.column("source"), counts, stored]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "doc_tokens", "ids"])
 
     slim = docs.select(
@@ -226,11 +239,13 @@ def pack_mixture(
     laid = queued.join(cuts.groupBy("_row").agg(each.alias("cuts")), "_row").drop("_row")
     schema = "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
+    stored_as = id_type(tokenizer_path, end_id)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, found, crcs, stored = [], [], [], []
             for row, (ids, cuts) in enumerate(zip(batch.column("ids"), batch.column("cuts"), strict=True)):
-                whole = memoryview(ids.as_buffer())
+                whole = memoryview(np.frombuffer(ids.as_buffer(), stored_as).astype("<u4").tobytes())
                 merged: list[list[int]] = []
                 for cut in cuts.as_py():
                     start, length, number, offset = cut["start"], cut["length"], cut["sequence_id"], cut["offset"]
