@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,9 @@ SEED = 7
 CELL_ROWS = 16_384
 LEAF_ROWS = 256
 QUERIES_PER_TASK = 1_024
-# Bound of the sample that the cells' splits are read from; every vector is indexed.
+# Projected points that the cells' splits are read from: so many in all, and for each cell, whichever is more.
 SPLIT_SAMPLE = 20_000
+SAMPLE_PER_CELL = 16
 
 
 def chi_square_quantile(p: float, m: int = DIMENSIONS) -> float:
@@ -123,14 +125,17 @@ def search(
     k: int,
     longest: float,
     limit: float,
+    ids: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and inner products of each query's ``k`` best vectors (-1 and -inf for none).
 
-    ``bounds`` holds squared distances of the k-th found elsewhere (infinite for none).
+    Of equal products the vector of smaller ``ids`` is better. ``bounds`` holds squared
+    distances of the k-th found elsewhere (infinite for none).
     Leaves are visited in waves that double; the stopping test runs between them.
     """
     best = np.full((len(queries), k), -np.inf)
     rows = np.full((len(queries), k), -1, dtype=np.int64)
+    ids = np.append(ids, np.iinfo(np.int64).max)
     if not len(vectors):
         return rows, best
     leaves = leaf_order(projected, LEAF_ROWS)
@@ -157,7 +162,7 @@ def search(
             visits, products = visits[better], products[better]
             values = np.concatenate([best[visits], products], axis=1)
             where = np.concatenate([rows[visits], np.broadcast_to(leaf, products.shape)], axis=1)
-            top = np.argsort(-values, axis=1, kind="stable")[:, :k]
+            top = np.lexsort((ids[where], -values), axis=1)[:, :k]
             best[visits] = np.take_along_axis(values, top, axis=1)
             rows[visits] = np.take_along_axis(where, top, axis=1)
         seen, wave = until, wave * 2
@@ -174,17 +179,15 @@ def usable(rows: DataFrame, id_column: str = "vec_id", vector_column: str = "emb
     """``vec_id, v`` of the vectors that take part, each (id, vector) once.
 
     Left out: null or empty or zero vectors, vectors with null or non-finite
-    components, null ids, and vectors whose length is not the commonest one.
+    components, and null ids.
     """
     vector = F.col(vector_column)
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = (
+    return (
         rows.where(F.col(id_column).isNotNull() & vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0))
         .select(F.col(id_column).cast("long").alias("vec_id"), vector.cast("array<double>").alias("v"))
         .distinct()
     )
-    sizes = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return good.where(F.size("v") == (sizes["n"] if sizes else 0))
 
 
 def nearest(
@@ -200,13 +203,39 @@ def nearest(
     Columns ``query_id, rank, vec_id, score``; ties go to the smaller id, a
     query's own id is never found. Equal vectors are searched once: each distinct
     vector carries its ``k + 1`` smallest ids, more of which no query can return.
+    Vectors of different numbers of components have no inner product: each number is
+    searched by itself, one after the other. No usable vectors give no rows.
 
     Args:
         is_query: condition on ``vec_id`` that makes a row a query.
         confidence: probability of the stopping test.
     """
-    spark = rows.sparkSession
     each = materialize(usable(rows, id_column, vector_column), "vectors")
+    sizes = [r["n"] for r in each.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    found = [_nearest(each.where(F.size("v") == n), n, is_query, k, confidence) for n in sizes]
+    nothing = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found) if found else nothing
+
+
+def _sampled_points(distinct: DataFrame, projection: Projection, share: float) -> np.ndarray:
+    """Projections of about a ``share`` of the vectors, chosen by hash; only these come to the driver."""
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                points = projection.stored(_matrix(batch.column("v")))
+                yield pa.RecordBatch.from_arrays([pa.array(points[:, i].copy()) for i in range(DIMENSIONS)], axes)
+
+    axes = [f"p{i}" for i in range(DIMENSIONS)]
+    chance = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = distinct.select("v").where(chance < share) if share < 1 else distinct.select("v")
+    found = chosen.mapInArrow(project, ", ".join(f"{axis} double" for axis in axes)).toArrow()
+    points = np.column_stack([found.column(axis).to_numpy() for axis in axes])
+    return points[np.lexsort(points.T)]
+
+
+def _nearest(each: DataFrame, size: int, is_query, k: int, confidence: float) -> DataFrame:
+    """``nearest`` among ``each`` (``vec_id, v``), vectors of ``size`` components."""
     ranked = Window.partitionBy("v").orderBy("vec_id")
     distinct = (
         each.withColumn("_r", F.row_number().over(ranked))
@@ -217,17 +246,14 @@ def nearest(
     )
     distinct = materialize(distinct, "distinct_vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m"), F.max(F.size("v")).alias("d")).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not facts["n"]:
-        return empty
+    facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m")).first()
     longest, limit = math.sqrt(facts["m"]), chi_square_quantile(confidence)
-    projection = Projection(facts["d"], longest)
+    projection = Projection(size, longest)
 
-    sample = distinct.orderBy(F.xxhash64("v")).select("v").limit(SPLIT_SAMPLE).collect()
-    wanted = max(1, min(-(-facts["n"] // CELL_ROWS), len(sample) // 16))
+    wanted = -(-facts["n"] // CELL_ROWS)
     cells = 1 << (wanted - 1).bit_length()
-    tree = split_tree(projection.stored(np.array([r["v"] for r in sample])), cells)
+    sample = max(SPLIT_SAMPLE, SAMPLE_PER_CELL * cells)
+    tree = split_tree(_sampled_points(distinct, projection, sample / facts["n"]), cells)
 
     axes = [f"p{i}" for i in range(DIMENSIONS)]
 
@@ -255,13 +281,14 @@ def nearest(
     def in_cell(stored: pa.Table, asked: pa.Table) -> pa.Table:
         vectors, questions = _matrix(stored["v"]), _matrix(asked["v"])
         vids, qids, bounds = stored["vid"].to_numpy(), asked["vid"].to_numpy(), asked["bound"].to_numpy()
+        lows = stored["low"].to_numpy()
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(vectors) and len(questions):
             points = projection.stored(vectors)
             for i in range(0, len(questions), 256):
                 part = questions[i : i + 256]
                 hits, _ = search(
-                    vectors, points, part, projection.asked(part), bounds[i : i + 256], k + 1, longest, limit
+                    vectors, points, part, projection.asked(part), bounds[i : i + 256], k + 1, longest, limit, lows
                 )
                 query, slot = np.nonzero(hits >= 0)
                 hits = hits[query, slot]
@@ -273,8 +300,8 @@ def nearest(
         """Each cell's vectors meet the cell's queries, so many at a time."""
         parts = questions.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("parts"))
         asked = questions.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int"))
-        stored = index.select("cell", "vid", "v").join(parts, "cell")
-        stored = stored.select("cell", "vid", "v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        stored = index.select("cell", "vid", "v", F.col("ids")[0].alias("low")).join(parts, "cell")
+        stored = stored.select("cell", "vid", "v", "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         pairs = stored.groupBy("cell", "part").cogroup(asked.drop("parts").groupBy("cell", "part"))
         return pairs.applyInArrow(in_cell, "qid long, vid long, score double")
 

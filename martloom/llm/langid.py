@@ -29,20 +29,24 @@ LANDMARKS = 256
 RIDGE = 1e-2
 UNKNOWN = "und"
 ROWS_PER_PRODUCT = 32
-
-
-def presence(text: str) -> np.ndarray:
-    """Bins of the text's n-grams, repeats included."""
-    octets = np.frombuffer(text.lower().encode(), dtype=np.uint8).astype(np.uint64)
-    found = []
-    gram = np.zeros(len(octets), dtype=np.uint64)
-    for n in ORDERS:
-        if len(octets) < n:
-            break
-        gram = (gram[: len(octets) - n + 1] << np.uint64(8)) | octets[n - 1 :]
-        mixed = (gram + np.uint64(n << 40)) * np.uint64(0x9E3779B97F4A7C15)
-        found.append((mixed >> np.uint64(48)).astype(np.int64))
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
+# Rows learned from in all, 8 KB each on the driver; with very many languages each gets fewer, one at least.
+SAMPLE_ROWS = 20_000
+# Bytes of a text whose n-grams are taken at a time.
+PART_BYTES = 1 << 20
+
+
+def presence(text: str) -> Iterator[np.ndarray]:
+    """Bins of the text's n-grams, repeats included, part by part; parts overlap by what an n-gram needs."""
+    whole = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+    for start in range(0, len(whole), PART_BYTES):
+        octets = whole[start : start + PART_BYTES + max(ORDERS) - 1].astype(np.uint64)
+        gram = np.zeros(len(octets), dtype=np.uint64)
+        for n in ORDERS:
+            if len(octets) < n:
+                break
+            gram = (gram[: len(octets) - n + 1] << np.uint64(8)) | octets[n - 1 :]
+            mixed = (gram + np.uint64(n << 40)) * np.uint64(0x9E3779B97F4A7C15)
+            yield (mixed >> np.uint64(48)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -57,8 +61,10 @@ def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` different texts of each ``lang``, by hash; counts first, so few rows are ranked."""
     different = labelled.select("lang", F.xxhash64("text").alias("_hash")).distinct()
     counts = different.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    languages = counts.count()
+    per_language = max(1, min(per_language, SAMPLE_ROWS // max(languages, 1)))
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    likely = labelled.join(F.broadcast(counts) if counts.count() <= 10_000 else counts, "lang").where(
+    likely = labelled.join(F.broadcast(counts) if languages <= 10_000 else counts, "lang").where(
         chance * F.col("_n") < 2.0 * per_language
     ).select("lang", "text").distinct()
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
@@ -74,8 +80,9 @@ def train(
     """Learn from columns ``text`` and ``lang``; rows without either are left out.
 
     Presence vectors are made by the executors; at most ``per_language`` of them
-    per language, of ``BINS`` bits each, come to the driver. A text repeated exactly
-    takes one of these places. No rows give a model without languages.
+    per language, and about ``SAMPLE_ROWS`` in all, of ``BINS`` bits each, come to the
+    driver. A text repeated exactly takes one of these places. No rows give a model
+    without languages.
     """
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string"))
 
@@ -84,7 +91,8 @@ def train(
             bits = []
             for text in batch.column("text").to_pylist():
                 flags = np.zeros(BINS, dtype=np.uint8)
-                flags[presence(text)] = 1
+                for bins in presence(text):
+                    flags[bins] = 1
                 bits.append(np.packbits(flags).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), batch.column("_rank"), pa.array(bits, pa.binary())], ["lang", "rank", "bits"]
@@ -146,7 +154,8 @@ def classify(
                 rows = known[k : k + ROWS_PER_PRODUCT]
                 matrix[: len(rows)] = 0
                 for r, i in enumerate(rows):
-                    matrix[r, presence(texts[i])] = 1
+                    for bins in presence(texts[i]):
+                        matrix[r, bins] = 1
                 product = matrix[: len(rows)] @ folded
                 outputs = np.maximum(product[:, :-1] / np.sqrt(product[:, -1:]), 0).astype(float)
                 best = outputs.argmax(axis=1)

@@ -5,7 +5,8 @@ perfect [23, 12] Golay code. Decoding a segment, and the segment with any one bi
 turned, gives it up to six codeword indices; words that differ in at most two
 bits share one. Of fingerprints within four bits, two segments differ in at most
 two bits together (pigeonhole), so a pair of indices from those two segments is a
-key that both have. Fingerprints that share a key are compared in full.
+key that both have. Fingerprints that share a key are compared in full; a key that
+very many different fingerprints have is cut into blocks, and a task gets two of them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import numbered, slices, text_or_empty
 from martloom.llm.components import connected_components, star_edges
-from martloom.llm.jaccard import shingle_hashes, similar_groups
 from martloom.plans.shared import materialize
 
 WORDS = 4
@@ -28,6 +28,8 @@ SEED = 42
 # Generator polynomial of the [23, 12] Golay code; lengths of the three segments.
 GENERATOR = 0xAE3
 SEGMENTS = (22, 21, 21)
+# Fingerprints of one key that are compared as one block.
+BLOCK = 8192
 
 
 def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
@@ -137,61 +139,67 @@ def fuzzy_keys(prints: np.ndarray, decoder: GolayDecoder) -> tuple[np.ndarray, n
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def linked(
-    nodes: DataFrame,
-    prints: tuple[str, ...] = ("fp",),
-    max_distance: int = MAX_DISTANCE,
-    max_check: int | None = None,
-) -> DataFrame:
-    """Edges ``a, b`` with the same components as all linked pairs of ``nodes``.
+def _keys(nodes: DataFrame) -> DataFrame:
+    """``key, id, fp``: every node under each of its keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = GolayDecoder()
+        for batch in batches:
+            rows, keys = fuzzy_keys(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64), decoder)
+            taken = [batch.column(c).take(pa.array(rows)) for c in ("id", "fp")]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), *taken], ["key", "id", "fp"])
+
+    return nodes.select("id", "fp").mapInArrow(run, "key int, id long, fp long")
+
+
+def _in_blocks(keys: DataFrame) -> DataFrame:
+    """``key, low, high, block, id, fp``: nodes of frequent keys once for every two blocks that they belong to."""
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+    frequent = materialize(counts.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "frequent_keys")
+    zero = F.lit(0)
+    if frequent.isEmpty():
+        return keys.select("key", zero.alias("low"), zero.alias("high"), zero.alias("block"), "id", "fp")
+    rare = keys.join(frequent, "key", "left_anti")
+    rare = rare.select("key", zero.alias("low"), zero.alias("high"), zero.alias("block"), "id", "fp")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    spread = keys.join(frequent, "key").withColumn("block", own)
+    spread = spread.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return rare.unionByName(spread.select("key", low, high, "block", "id", "fp"))
+
+
+def linked(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """Edges ``a, b`` with the same components as all pairs of ``nodes`` within ``max_distance`` bits.
 
-    Two nodes link if one of their ``prints`` differs in at most ``max_distance``
-    bits and, with ``max_check``, their ``check`` differs in at most so many. A task
-    compares every two nodes that share a key, and gives one edge per node it
+    A task compares every two nodes that share a key, and gives one edge per node it
     linked, not one per pair.
 
     Args:
-        nodes: long ``id``, unique; long ``prints``; with ``max_check`` a binary
-            ``check`` of 16 bytes. Nodes should differ, so that copies do not meet here.
+        nodes: long ``id``, unique; long ``fp``. Fingerprints should differ, so that
+            copies do not meet here. They are read twice: pass a stored table.
     """
     if not 0 <= max_distance <= 4:
         raise ValueError("the keys are complete up to 4 bits")
-    checked = max_check is not None
-    names = ["key", "id", "fp", *(["check"] if checked else [])]
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = GolayDecoder()
-        for batch in batches:
-            for number, name in enumerate(prints):
-                found = batch.column(name).to_numpy(zero_copy_only=False)
-                rows, keys = fuzzy_keys(found.view(np.uint64), decoder)
-                rows = pa.array(rows)
-                columns = [pa.array((keys + number * (3 << 24)).astype(np.int32)), batch.column("id").take(rows)]
-                columns += [batch.column(c).take(rows) for c in (name, *(["check"] if checked else []))]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    def octets(batch: pa.RecordBatch) -> np.ndarray:
-        if not checked:
-            return np.zeros((batch.num_rows, 0), np.uint64)
-        return np.frombuffer(b"".join(batch.column("check").to_pylist()), dtype="<u8").reshape(-1, 2)
+    group = ["key", "low", "high"]
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lefts, rights, held = [], [], 0
 
-        def compare(keys: np.ndarray, ids: np.ndarray, prints: np.ndarray, checks: np.ndarray) -> None:
+        def compare(key, low, high, block, ids, prints) -> None:
             nonlocal lefts, rights, held
-            at, step = np.arange(len(keys)), 1
+            at, step = np.arange(len(key)), 1
             while len(at):
-                at = at[at + step < len(keys)]
-                at = at[keys[at] == keys[at + step]]
-                close = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= max_distance]
-                if checked and len(close):
-                    apart = np.bitwise_count(checks[close] ^ checks[close + step]).sum(axis=1, dtype=np.int64)
-                    close = close[apart <= max_check]
-                if len(close):
-                    lefts.append(ids[close])
-                    rights.append(ids[close + step])
-                    held += len(close)
+                at = at[at + step < len(key)]
+                to = at + step
+                same = (key[at] == key[to]) & (low[at] == low[to]) & (high[at] == high[to])
+                at, to = at[same], to[same]
+                close = np.bitwise_count(prints[at] ^ prints[to]) <= max_distance
+                # Two nodes of one block meet where it stands alone.
+                close &= (low[at] == high[at]) | (block[at] != block[to])
+                if close.any():
+                    lefts.append(ids[at[close]])
+                    rights.append(ids[to[close]])
+                    held += len(lefts[-1])
                 if held > 1 << 20:
                     left, right = star_edges(np.concatenate(lefts), np.concatenate(rights))
                     lefts, rights, held = [left], [right], 0
@@ -199,26 +207,34 @@ def linked(
 
         rest = None
         for batch in batches:
-            new = (
-                batch.column("key").to_numpy(zero_copy_only=False),
-                batch.column("id").to_numpy(zero_copy_only=False),
-                batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64),
-                octets(batch),
-            )
-            new = new if rest is None else tuple(np.concatenate(pair) for pair in zip(rest, new, strict=True))
-            whole = np.searchsorted(new[0], new[0][-1]) if len(new[0]) else 0
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not len(new[0]):
+                continue
+            new[5] = new[5].view(np.uint64)
+            new = new if rest is None else [np.concatenate(pair) for pair in zip(rest, new, strict=True)]
+            other = np.flatnonzero((new[0] != new[0][-1]) | (new[1] != new[1][-1]) | (new[2] != new[2][-1]))
+            whole = int(other[-1]) + 1 if len(other) else 0
             compare(*(c[:whole] for c in new))
-            rest = tuple(c[whole:] for c in new)
+            rest = [c[whole:] for c in new]
         if rest is not None:
             compare(*rest)
         if lefts:
             left, right = star_edges(np.concatenate(lefts), np.concatenate(rights))
             yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
 
-    schema = "key int, id long, fp long" + (", check binary" if checked else "")
-    keys = nodes.mapInArrow(keyed, schema)
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keys.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(compared, "a long, b long")
+    dealt = _in_blocks(_keys(nodes)).repartition(parts, *group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(compared, "a long, b long")
+
+
+def _rooted(printed: DataFrame, max_distance: int) -> tuple[DataFrame, DataFrame]:
+    """``fp, root`` of the fingerprints of ``printed`` (``doc_id, fp``), and ``root, component_id``, its smallest id."""
+    nodes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct_fingerprints")
+    stars = connected_components(linked(nodes.select(F.col("fp").alias("id"), "fp"), max_distance))
+    rooted = nodes.join(stars, nodes.fp == stars.node, "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root")
+    )
+    return rooted.select("fp", "root"), rooted.groupBy("root").agg(F.min("low").alias("component_id"))
 
 
 def near_dedup(
@@ -238,116 +254,24 @@ def near_dedup(
     of each other; an empty table has no rows; other columns are not read.
     """
     printed = materialize(fingerprints(docs, words, (seed,), id_column, text_column), "fingerprints")
-    nodes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct_fingerprints")
-    stars = connected_components(linked(nodes.select(F.col("fp").alias("id"), "fp"), max_distance=max_distance))
-    rooted = nodes.join(stars, nodes.fp == stars.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    rooted, lowest = _rooted(printed, max_distance)
     found = rooted.join(lowest, "root").select("fp", "component_id")
     return printed.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-# Near copies by similarity: words in a shingle; bits of 128 that differ at a similarity of 0.8 (19.4 expected).
-SIMILAR_WORDS = 5
-SIMILAR_BITS = 21
-# Words of this many letters tell documents apart; texts with fewer of them than this use all their words.
-LONG_WORD = 10
-FEWEST_LONG_WORDS = 8
-CANDIDATE_SEEDS = (42, 43)
-
-
-def _majority(hashes: np.ndarray) -> np.ndarray:
-    """Fingerprint of rows of unsigned 64-bit words: each bit by majority."""
-    if not len(hashes):
-        return np.zeros(hashes.shape[1], dtype=np.uint64)
-    ones = np.zeros(64 * hashes.shape[1], dtype=np.int64)
-    for i in range(0, len(hashes), 1 << 14):
-        octets = np.ascontiguousarray(hashes[i : i + (1 << 14)]).view(np.uint8).reshape(-1, 8 * hashes.shape[1])
-        ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
-
-
-def document_prints(text: str) -> tuple[np.ndarray, bytes]:
-    """Fingerprints of a text's distinct long words, one per seed, and 128 bits of its distinct word shingles."""
-    import xxhash
-
-    words = text.encode().lower().split()
-    distinct = set(words)
-    long_words = [w for w in distinct if len(w) >= LONG_WORD]
-    chosen = long_words if len(long_words) >= FEWEST_LONG_WORDS else distinct
-    digest = xxhash.xxh3_128_digest
-    by_word = np.frombuffer(b"".join(map(digest, chosen)), dtype="<u8").reshape(-1, len(CANDIDATE_SEEDS))
-    n = max(1, len(words) - SIMILAR_WORDS + 1) if words else 0
-    shingles = {b" ".join(words[i : i + SIMILAR_WORDS]) for i in range(n)}
-    by_shingle = np.frombuffer(b"".join(map(digest, shingles)), dtype="<u8").reshape(-1, 2)
-    return _majority(by_word), _majority(by_shingle).tobytes()
-
-
-def key_pairs(nodes: DataFrame, prints: tuple[str, ...], max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Pairs ``a < b`` of nodes (long ``id``, long ``prints``): each node with the smallest one under each of its keys.
-
-    Kept are pairs whose prints differ in at most ``max_distance`` bits. A key gives
-    one pair per node and its nodes never meet in a task, however many have it.
-    """
+def drop_near_copies(
+    docs: DataFrame, words: int = WORDS, max_distance: int = MAX_DISTANCE, seed: int = SEED, id_column: str = "doc_id"
+) -> DataFrame:
+    """``docs`` with one document, the one of smallest id, of each group of ``near_dedup``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = GolayDecoder()
-        for batch in batches:
-            for number, name in enumerate(prints):
-                found = batch.column(name).to_numpy(zero_copy_only=False)
-                rows, keys = fuzzy_keys(found.view(np.uint64), decoder)
-                columns = [batch.column(c).take(pa.array(rows)) for c in ("id", name)]
-                keys = pa.array((keys + number * (3 << 24)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([keys, *columns], ["key", "id", "fp"])
-
-    keys = nodes.select("id", *prints).mapInArrow(run, "key int, id long, fp long")
-    firsts = keys.groupBy("key").agg(F.min(F.struct("id", "fp")).alias("first"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("first.fp"))) <= max_distance
-    met = keys.join(firsts, "key").where((F.col("id") != F.col("first.id")) & near)
-    return met.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
-
-
-def drop_near_copies(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with one document, the one of smallest id, of each group of near copies.
-
-    Near copies are documents whose sets of five-word shingles have a Jaccard
-    similarity of at least 0.8; all such pairs are found and every one is decided
-    on the whole sets (``jaccard.py``). Fingerprints of the long words, in which
-    near copies differ by few bits, give the candidates that are compared first.
-    Groups are closed under chains of such pairs. Texts without words (null, empty,
-    white space) are copies of each other. Rows that repeat an id are separate
-    documents, null ids come first; columns are unchanged and an empty table stays
-    empty.
+    Rows that repeat an id are separate documents, null ids come first; columns are
+    unchanged and an empty table stays empty. Texts without words (null, empty, white
+    space) have the same fingerprint: one of them stays.
     """
     rows = numbered(docs, id_column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in slices(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            found = [document_prints(t) for t in texts]
-            sets = [shingle_hashes(t) for t in texts]
-            words = np.array([w for w, _ in found], dtype=np.uint64).view(np.int64).reshape(-1, len(CANDIDATE_SEEDS))
-            checks = np.frombuffer(b"".join(c for _, c in found), dtype="<i8").reshape(-1, 2)
-            columns = [batch.column("__row"), *[pa.array(words[:, i].copy()) for i in range(len(CANDIDATE_SEEDS))]]
-            columns += [pa.array(checks[:, i].copy()) for i in range(2)]
-            columns += [
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                pa.array([len(s) for s in sets], pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["__row", *names, "check0", "check1", "whole", "n"])
-
-    names = [f"fp{i}" for i in range(len(CANDIDATE_SEEDS))]
-    schema = "__row long, " + "".join(f"{n} long, " for n in names) + "check0 long, check1 long, whole binary, n int"
-    printed = rows.select("__row", text_or_empty().alias("text")).mapInArrow(run, schema)
-    # Documents with the same shingles are one node.
-    nodes = printed.groupBy(*names, "check0", "check1", "whole", "n").agg(F.min("__row").alias("id"))
-    nodes = materialize(nodes.drop("whole"), "near_copies")
-    texts = rows.select(F.col("__row").alias("id"), "text").join(nodes.select("id"), "id", "left_semi")
-    groups = similar_groups(texts, nodes, key_pairs(nodes, tuple(names)))
-    kept = nodes.join(groups, nodes.id == groups.node, "left_anti").select(F.col("id").alias("__row"))
+    printed = materialize(fingerprints(rows, words, (seed,), "__row"), "fingerprints")
+    _, lowest = _rooted(printed, max_distance)
+    kept = lowest.select(F.col("component_id").alias("__row"))
     return rows.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -5,6 +5,7 @@ import hashlib
 import duckdb
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -125,6 +126,90 @@ def test_neighbours_of_few_and_none(spark):
     assert ann.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def brute_force(rows, k=20):
+    """Nearest by inner product among vectors of the same length, ties to the smaller id."""
+    found = set()
+    for q, v in rows:
+        if q % 20 == 0:
+            scored = sorted((-float(np.dot(v, w)), i) for i, w in rows if i != q and len(w) == len(v))
+            found |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:k])}
+    return found
+
+
+def test_equal_scores_of_different_vectors_go_to_the_smaller_id(spark):
+    """600 vectors whose products with the queries are whole numbers, most of them equal."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [1.0, *rng.integers(-3, 4, 7).astype(float), float(i)]) for i in range(600)]
+    rows = [(i, [*v[:-1], 0.0] if i % 20 == 0 else v) for i, v in rows]
+    rows = [(i, [v[0], *([0.0] * 7), v[8]] if i % 60 == 0 else v) for i, v in rows]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = {tuple(r) for r in ann.nearest(frame, F.col("vec_id") % 20 == 0, confidence=1 - 1e-12).collect()}
+    assert found == brute_force(rows)
+
+
+def test_vectors_of_every_length_are_searched(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-5, 6, 2 + i % 3).astype(float).tolist()) for i in range(300)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {tuple(r) for r in ann.nearest(frame, F.col("vec_id") % 20 == 0, confidence=1 - 1e-12).collect()}
+    assert found == brute_force(rows)
+
+
+def grams(text):
+    """Bins of the n-grams of a text, spelled out."""
+    octets, found = text.lower().encode(), set()
+    for n in langid.ORDERS:
+        for i in range(len(octets) - n + 1):
+            number = int.from_bytes(octets[i : i + n], "big") + (n << 40)
+            found.add((number * 0x9E3779B97F4A7C15) % (1 << 64) >> 48)
+    return found
+
+
+def test_predictions_are_those_of_kernel_ridge_regression(spark):
+    """Every kernel value computed from sets; ridge regression solved in the kernel's own space, not in that of bins."""
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) < 1500").orderBy("doc_id").limit(120).collect()
+    docs = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in rows], "doc_id long, text string, lang string")
+    known = docs.where(~langid.held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    learned = sorted({(r.lang, r.text) for r in known.collect()})
+    model = langid.train(known, landmarks=10_000)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify_languages(docs, model).collect()}
+
+    sets = [grams(t) for _, t in learned]
+
+    def kernel(a, b):
+        return len(a & b) / (max(len(a), 1) * max(len(b), 1)) ** 0.5
+
+    gram = np.array([[kernel(a, b) for b in sets] for a in sets])
+    languages = sorted({lang for lang, _ in learned})
+    targets = np.array([[lang == name for name in languages] for lang, _ in learned], dtype=float)
+    # With every text a landmark, the regression's weights in the feature space are those of the kernel's dual.
+    weights = np.linalg.solve(gram + langid.RIDGE * np.eye(len(gram)), targets)
+    for r in rows:
+        text = r.text or ""
+        if not regex.search(r"\p{L}", text):
+            assert found[r.doc_id] == ("und", 0.0)
+            continue
+        own = grams(text)
+        outputs = np.maximum(np.array([kernel(own, s) for s in sets]) @ weights, 0)
+        best = int(outputs.argmax())
+        assert found[r.doc_id][0] == languages[best]
+        assert abs(found[r.doc_id][1] - outputs[best] / outputs.sum()) < 1e-3
+
+
+def test_parts_of_long_texts_and_many_languages(spark, monkeypatch):
+    text = "Ünïcode, ein langer Text. " * 20
+    whole = {int(b) for bins in langid.presence(text) for b in bins}
+    assert whole == grams(text)
+    for size in (1, 3, 7, 100):
+        monkeypatch.setattr(langid, "PART_BYTES", size)
+        assert {int(b) for bins in langid.presence(text) for b in bins} == whole
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 10)
+    docs = spark.createDataFrame([(f"l{i % 6}", f"text {i} of {i % 6}") for i in range(60)], "lang string, text string")
+    assert langid._sample(docs, 400).groupBy("lang").count().where("count > 1").count() == 0
+    assert len(langid.train(docs).languages) == 6
+
+
 def test_languages(spark, messy, nothing):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = langid.train(docs.where(~langid.held_out()))

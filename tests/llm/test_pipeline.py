@@ -8,9 +8,9 @@ import regex
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from martloom.llm import line_dedup, simhash
+from martloom.llm import line_dedup
 from tests.conftest import SMALL
-from tests.llm.test_dedup import union_find
+from tests.llm.test_dedup import plain_print, union_find
 
 
 def plain_lines(texts):
@@ -33,14 +33,8 @@ def plain_lines(texts):
 
 def plain_near_copies(texts):
     ids = sorted(texts)
-    prints = [simhash.document_prints(texts[i]) for i in ids]
-    words = np.array([w for w, _ in prints], dtype=np.uint64)
-    checks = np.array([np.frombuffer(c, dtype="<u8") for _, c in prints])
-    pairs = []
-    for k in range(len(ids)):
-        near = (np.bitwise_count(words ^ words[k]) <= simhash.MAX_DISTANCE).any(axis=1)
-        near &= np.bitwise_count(checks ^ checks[k]).sum(axis=1, dtype=int) <= simhash.SIMILAR_BITS
-        pairs += [(k, int(j)) for j in np.flatnonzero(near)]
+    prints = np.array([plain_print(texts[i]) for i in ids], dtype=np.uint64)
+    pairs = [(k, int(j)) for k in range(len(ids)) for j in np.flatnonzero(np.bitwise_count(prints ^ prints[k]) <= 4)]
     root = union_find(len(ids), pairs)
     return {i: texts[i] for k, i in enumerate(ids) if root[k] == k}
 
