@@ -43,3 +43,36 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
 def is_complete(spark: SparkSession, folder: str) -> bool:
     """Whether a write to ``folder`` was committed."""
     return exists(spark, f"{folder}/_SUCCESS")
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file; False, and nothing done, if there is one already."""
+    system, target = _opened(spark, path)
+    system.mkdirs(target.getParent())
+    try:
+        out = system.create(target, False)
+    except Exception:
+        if system.exists(target):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    system, target = _opened(spark, path)
+    data = system.open(target)
+    try:
+        return bytes(data.readAllBytes()).decode()
+    finally:
+        data.close()
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 at which a file or folder was last changed."""
+    system, target = _opened(spark, path)
+    return system.getFileStatus(target).getModificationTime() / 1000
