@@ -473,6 +473,35 @@ _STATEMENTS: dict[str, str] = {
         FROM (SELECT sold_date_sk, channel_key, count(order_number) AS lines, sum(daily_qty) AS qty
               FROM sold GROUP BY ALL) JOIN cal ON sold_date_sk = date_sk
         GROUP BY quarter_name, channel_key""",
+    "csv_rejects": " UNION ALL ".join(
+        f"""SELECT 'item' AS table_name, '{column}' AS "column", '{text}' || i_item_sk AS cell, '{reason}' AS reason,
+                   CASE WHEN i_item_sk % 17 = 0 THEN 'K' ELSE '' END || i_item_sk AS record_key
+            FROM item_raw WHERE i_item_sk % {every} = 0"""
+        for column, every, text, reason in (
+            ("i_current_price", 7, "n/a ", "type"),
+            ("i_brand_id", 11, "12x", "type"),
+            ("i_rec_start_date", 13, "soon, ", "type"),
+            ("i_item_sk", 17, "K", "key"),
+        )
+    ),
+    "as_of_history": """
+        SELECT DATE '1999-01-15' AS as_of, i_item_sk, i_current_price, i_item_desc, i_formulation, i_rec_start_date
+        FROM item_raw WHERE i_item_sk % 5 <> 1
+        UNION ALL
+        SELECT DATE '1999-02-01', i_item_sk, CASE WHEN i_item_sk % 7 = 0 THEN i_current_price + 1 ELSE i_current_price END,
+               i_item_desc, i_formulation, i_rec_start_date
+        FROM item_raw
+        UNION ALL
+        SELECT DATE '1999-03-31', i_item_sk, CASE WHEN i_item_sk % 7 = 0 THEN i_current_price + 1 ELSE i_current_price END,
+               i_item_desc, i_formulation, i_rec_start_date
+        FROM item_raw CROSS JOIN range(2) copies(n) WHERE i_item_sk % 9 <> 0 AND (n = 0 OR i_item_sk % 10 = 0)""",
+    "snapshot_verified": """
+        SELECT 'item' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS files_lost FROM item_raw
+        UNION ALL SELECT 'catalog_sales', count(*), CAST(0 AS BIGINT) FROM cs""",
+    "published_version": """
+        SELECT channel_key, sold_yr_num, CAST(count(order_number) AS BIGINT) AS order_lines,
+               CAST(sum(daily_qty) AS DOUBLE) AS qty
+        FROM sold GROUP BY channel_key, sold_yr_num""",
     "as_of_key": "SELECT d_date_sk FROM date_raw WHERE d_date = DATE '1999-06-30'",
     "as_of_filter": f"""
         SELECT cs_sold_date_sk, cs_ship_date_sk, cs_bill_customer_sk, cs_warehouse_sk, cs_item_sk, cs_promo_sk,
@@ -513,6 +542,8 @@ _STATEMENTS: dict[str, str] = {
         SELECT date_sk, item_sk, warehouse_sk, {_doubles('quantity_on_hand')}, date, yr_wk_num FROM inv_dated""",
     "fact_sales_inv_weekly": _weekly("weekly"),
     "fact_sales_inv_weekly_preagg": _weekly("weekly_once"),
+    "fact_sales_inv_weekly_bucketed": _weekly("weekly"),
+    "fact_sales_inv_weekly_clustered": _weekly("weekly"),
     "sales_item_weekly": f"""
         SELECT yr_wk_num, item_sk, week_start_date, week_end_date,
                {_doubles('sum_qty_wk', 'sum_amt_wk', 'sum_profit_wk')}
@@ -544,8 +575,14 @@ _STATEMENTS: dict[str, str] = {
                {', '.join(f'CAST(sum({m}) AS DOUBLE) AS {m}' for m in _MEASURES)},
                count(order_number) AS daily_orders
         FROM sold GROUP BY customer_sk, item_sk, promo_sk, channel_key, sold_date_sk, {_DAY}""",
+    "fact_sales_daily_refreshed": f"""
+        SELECT customer_sk, item_sk, promo_sk, channel_key, sold_date_sk, {_DAY},
+               {', '.join(f'CAST(sum({m}) AS DOUBLE) AS {m}' for m in _MEASURES)},
+               count(order_number) AS daily_orders
+        FROM sold GROUP BY customer_sk, item_sk, promo_sk, channel_key, sold_date_sk, {_DAY}""",
     "max_sold_date": "SELECT max_sold_date FROM newest",
     "customer_rfm": f"SELECT customer_sk, recent_purchase, frequency, {_doubles('monetary')} FROM rfm",
+    "customer_rfm_merged": f"SELECT customer_sk, recent_purchase, frequency, {_doubles('monetary')} FROM rfm",
     "rfm_segments": f"""
         SELECT customer_sk, recent_purchase, frequency, {_doubles('monetary')}, recency_segment,
                frequency_segment, monetary_segment, customer_segment

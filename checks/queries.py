@@ -13,12 +13,15 @@ from checks.supplied import StoredTables, SuppliedTables
 from martloom.functions.labels import SegmentThresholds
 from martloom.functions.ratios import decimals_to_double
 from martloom.operators import calendar, customers, dimensions, returns, sales
+from martloom.operators.order_states import merged_activity
 from martloom.plans.extract import extract_snapshot
+from martloom.plans.refresh import dated_order_states, read_daily, refresh_daily
 from martloom.plans.shared import materialize, shared_path
 from martloom.plans.sizing import checked_calendar
 from martloom.schemas import RAW_SCHEMAS
-from martloom.sinks import export_raw, publish, write_mart
-from martloom.sources import readers, snapshots
+from martloom.sinks import export_raw, publish, write_bucketed, write_clustered, write_mart
+from martloom.sources import history, manifest, readers, snapshots, staging
+from martloom.versions import publish_versions, write_version
 
 AS_OF = date(1999, 6, 30)
 RANGE = (date(1996, 1, 1), date(1999, 12, 31))
@@ -33,6 +36,8 @@ LIMITS = SegmentThresholds(
 )
 # Fine enough to hit exact order statistics on the supplied tables.
 QUANTILE_ERROR = 0.00001
+# Days in a partition of refreshed tables: the supplied ones have a few lines a day.
+PARTITION_DAYS = 64
 
 
 class Frames:
@@ -133,6 +138,130 @@ def _published_sql(f: Frames) -> DataFrame:
     )
 
 
+def _earlier_lines(lines: DataFrame) -> DataFrame:
+    """The sales lines as an earlier snapshot had them, apart on some days.
+
+    By quarters of a thousand days: in the second, days 3 of 11 had no lines yet, days 5 had
+    other quantities, days 7 had some lines that are gone now, and the lines of days 9 were there
+    a second time on days that are gone now.
+    """
+    second = F.pmod(F.col("sold_date_sk"), F.lit(1000)).between(250, 499)
+    kind = F.when(second, F.col("sold_date_sk") % 11).otherwise(F.lit(0))
+    changed = F.when((kind == 5) & (F.col("item_sk") % 3 == 0), F.col("daily_qty") + 1).otherwise(F.col("daily_qty"))
+    gone = lines.where((kind == 7) & (F.col("item_sk") % 2 == 0))
+    moved = lines.where(kind == 9).withColumn("sold_date_sk", F.col("sold_date_sk") + 30_000)
+    there = lines.where(kind != 3).withColumn("daily_qty", changed.cast(lines.schema["daily_qty"].dataType))
+    return there.unionByName(gone).unionByName(moved)
+
+
+def _fact_sales_daily_refreshed(f: Frames) -> DataFrame:
+    base = shared_path(f.spark, "refreshed")
+    lines = materialize(f.incremental_sales, "sales_lines")
+    for state in (_earlier_lines(lines), lines):
+        refresh_daily(state, f.calendar, base, partition_days=PARTITION_DAYS)
+    return read_daily(f.spark, base)
+
+
+def _customer_rfm_merged(f: Frames) -> DataFrame:
+    """Customers' figures from states by day, which were kept up to date over two snapshots."""
+    base, name = shared_path(f.spark, "order_states"), "order_states"
+    lines = materialize(f.incremental_sales, "sales_lines")
+    for state in (_earlier_lines(lines), lines):
+        refresh_daily(state, f.calendar, base, name, dated_order_states, PARTITION_DAYS)
+    return customers.customer_rfm(merged_activity(read_daily(f.spark, base, name)))
+
+
+def _weekly_bucketed(f: Frames) -> DataFrame:
+    """The weekly fact from lines and stock that are stored by the key under which they meet."""
+    base, names = shared_path(f.spark, "bucketed"), ("weekly_lines_by_key", "weekly_stock_by_key")
+    sides = (
+        sales.lines_by_week_key(f.combined_daily_sales, f.calendar),
+        sales.stock_by_week_key(f.tables.inventory, f.calendar),
+    )
+    buckets = int(f.spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, side in zip(names, sides, strict=True):
+        write_bucketed(side, name, sales.STOCK_KEY, buckets, f"{base}/{name}")
+    return sales.weekly_fact(*[f.spark.table(name) for name in names])
+
+
+def _weekly_clustered(f: Frames) -> DataFrame:
+    """The weekly fact written along a curve through week, item and warehouse, and read back."""
+    base, name = shared_path(f.spark, "clustered"), "fact_sales_inv_weekly"
+    by = {"week": F.col("yr_wk_num").cast("int"), "item": F.col("item_sk"), "warehouse": F.col("warehouse_sk")}
+    write_clustered(materialize(f.weekly(), "weekly"), base, name, by, files=8)
+    return readers.read_mart(f.spark, base, name)
+
+
+def _published_version(f: Frames) -> DataFrame:
+    base, name = shared_path(f.spark, "published_version"), "fact_sales_by_version"
+    fact = sales.fact_sales_daily(f.incremental_sales, f.calendar)
+    for state in (fact.where("channel_key = 'Web'"), fact, fact.where("channel_key = 'Catalog'")):
+        write_version(state, base, name)
+    publish_versions(f.spark, base, [name], number=-1)
+    return f.spark.sql(
+        """
+        SELECT channel_key, sold_yr_num, sum(daily_orders) AS order_lines, sum(daily_qty) AS qty
+        FROM fact_sales_by_version_table GROUP BY channel_key, sold_yr_num
+        """
+    )
+
+
+def _csv_rejects(f: Frames) -> DataFrame:
+    """Cells of the item table spoilt by key, written as CSV and found in quarantine."""
+    folder, sk = shared_path(f.spark, "csv_rejects"), F.col("i_item_sk")
+    texts = [c for c, t in f.tables.item.dtypes if t == "string"]
+    plain = f.tables.item.select(
+        [readers.escaped_lines(c) if c in texts else F.col(c).cast("string").alias(c) for c in f.tables.item.columns]
+    )
+
+    def spoilt(column: str, every: int, text: str):
+        return F.when(sk % every == 0, F.concat(F.lit(text), sk)).otherwise(F.col(column))
+
+    planted = plain.withColumns(
+        {
+            "i_current_price": spoilt("i_current_price", 7, "n/a "),
+            "i_brand_id": spoilt("i_brand_id", 11, "12x"),
+            "i_rec_start_date": spoilt("i_rec_start_date", 13, "soon, "),
+            "i_item_sk": spoilt("i_item_sk", 17, "K"),
+        }
+    )
+    planted.write.option("header", True).options(**readers.CSV_FORMAT).csv(f"{folder}/item.csv")
+    staging.stage_raw(f.spark, "item", f"{folder}/item.csv", f"{folder}/staged")
+    found = staging.quarantine(f.spark, f"{folder}/staged", ["item"])
+    return found.select(
+        "table_name", "column", "cell", "reason", F.split("record", ",")[0].alias("record_key")
+    )
+
+
+def _as_of_history(f: Frames) -> DataFrame:
+    """The item table on three days, from the history of three snapshots that differ."""
+    base, sk = shared_path(f.spark, "history"), F.col("i_item_sk")
+    item = f.tables.item
+    dearer = F.when(sk % 7 == 0, F.col("i_current_price") + 1).otherwise(F.col("i_current_price"))
+    second = item.withColumn("i_current_price", dearer)
+    third = second.where(sk % 9 != 0)
+    states = (item.where(sk % 5 != 1), second, third.unionByName(third.where(sk % 10 == 0)))
+    for month, state in enumerate(states, 1):
+        history.record(state, base, "item", date(1999, month, 1))
+    read = [
+        history.as_of(f.spark, base, "item", day).withColumn("as_of", F.lit(day))
+        for day in (date(1999, 1, 15), date(1999, 2, 1), date(1999, 3, 31))
+    ]
+    columns = ["as_of", "i_item_sk", "i_current_price", "i_item_desc", "i_formulation", "i_rec_start_date"]
+    return reduce(DataFrame.unionByName, read).select(*columns)
+
+
+def _snapshot_verified(f: Frames) -> DataFrame:
+    """Two tables of a Parquet zone against their manifests."""
+    zone = shared_path(f.spark, "snapshot_verified")
+    for name in ("item", "catalog_sales"):
+        export_raw(f.tables.raw(name), zone, name, AS_OF, "parquet", manifest=True)
+    paths = snapshots.find_snapshot(f.spark, zone, ["item", "catalog_sales"], AS_OF)
+    return manifest.verify_snapshot(f.spark, paths).groupBy("table_name").agg(
+        F.sum("rows").alias("row_count"), F.count_if(F.col("status") != "whole").alias("files_lost")
+    )
+
+
 def _csv_roundtrip_text(f: Frames) -> DataFrame:
     zone = shared_path(f.spark, "csv_roundtrip_text")
     export_raw(f.tables.item, zone, "item", AS_OF)
@@ -190,8 +319,12 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     # sources and sinks
     "csv_roundtrip": _csv_roundtrip,
     "csv_roundtrip_text": _csv_roundtrip_text,
+    "csv_rejects": _csv_rejects,
+    "as_of_history": _as_of_history,
+    "snapshot_verified": _snapshot_verified,
     "parquet_roundtrip": _parquet_roundtrip,
     "published_sql": _published_sql,
+    "published_version": _published_version,
     "as_of_key": lambda f: snapshots.as_of_day(f.tables.date_dim, AS_OF),
     "as_of_filter": _as_of_filter,
     "as_of_filter_all": _as_of_filter_all,
@@ -212,6 +345,8 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "inventory_with_date": lambda f: sales.inventory_with_date(f.tables.inventory, f.calendar),
     "fact_sales_inv_weekly": lambda f: f.weekly(),
     "fact_sales_inv_weekly_preagg": lambda f: f.weekly(pre_aggregate=True),
+    "fact_sales_inv_weekly_bucketed": _weekly_bucketed,
+    "fact_sales_inv_weekly_clustered": _weekly_clustered,
     "sales_item_weekly": lambda f: sales.sales_item_weekly(f.weekly()),
     # returns
     "combined_returns": lambda f: f.combined_returns,
@@ -223,8 +358,10 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "incremental_sales": lambda f: f.incremental_sales,
     "sales_with_date": lambda f: f.sales_with_date,
     "fact_sales_daily": lambda f: sales.fact_sales_daily(f.incremental_sales, f.calendar),
+    "fact_sales_daily_refreshed": _fact_sales_daily_refreshed,
     "max_sold_date": lambda f: sales.max_sold_date(f.sales_with_date),
     "customer_rfm": lambda f: customers.customer_rfm(f.activity),
+    "customer_rfm_merged": _customer_rfm_merged,
     "rfm_segments": lambda f: f.segments,
     "customer_cohorts": lambda f: customers.customer_cohorts(f.activity),
     "churn_by_cohort": lambda f: f.churn,

@@ -105,35 +105,39 @@ _WEEK_END = "date_add(week_start_date, 6) AS week_end_date"
 # A week key is all digits. Grouping and joining use it as a number; the calendar
 # converts it once per day and the finished rows convert it back.
 _WEEK_NUMBER = "CAST(yr_wk_num AS INT) AS week"
-_STOCK_KEY = ["week", "warehouse_sk", "item_sk"]
+STOCK_KEY = ["week", "warehouse_sk", "item_sk"]
 
 
-def _sales_by_week(lines: DataFrame, calendar: DataFrame) -> DataFrame:
+def lines_by_week_key(lines: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales lines with the key ``week, warehouse_sk, item_sk`` under which they meet stock; unknown days drop out."""
+    day = [_WEEK_NUMBER, "week_start_date", "shiftleft(1, dayofweek(date)) AS weekday_bit"]
+    return dated(lines, calendar, "sold_date_sk", day).select(*STOCK_KEY, "week_start_date", "weekday_bit", *_MEASURES)
+
+
+def stock_by_week_key(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Stock snapshots with the key ``week, warehouse_sk, item_sk``; unknown days drop out."""
+    stock = inventory.selectExpr(
+        "inv_date_sk", "inv_warehouse_sk AS warehouse_sk", "inv_item_sk AS item_sk", "inv_quantity_on_hand"
+    )
+    return dated(stock, calendar, "inv_date_sk", [_WEEK_NUMBER]).select(*STOCK_KEY, "inv_quantity_on_hand")
+
+
+def _sales_by_week(keyed_lines: DataFrame) -> DataFrame:
     """Sales by week, warehouse and item in a single shuffle.
 
     ``sale_days`` counts distinct days: each day of the week sets one bit, and
     bits merge in the map-side aggregate like the sums do.
     """
-    day = [_WEEK_NUMBER, "week_start_date", "shiftleft(1, dayofweek(date)) AS weekday_bit"]
-    return (
-        dated(lines, calendar, "sold_date_sk", day)
-        .groupBy(*_STOCK_KEY, "week_start_date")
-        .agg(
-            *[F.sum(m).alias(m) for m in _MEASURES],
-            F.bit_count(F.bit_or("weekday_bit")).alias("sale_days"),
-        )
+    return keyed_lines.groupBy(*STOCK_KEY, "week_start_date").agg(
+        *[F.sum(m).alias(m) for m in _MEASURES],
+        F.bit_count(F.bit_or("weekday_bit")).alias("sale_days"),
     )
 
 
-def _stock_by_week(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
+def _stock_by_week(keyed_stock: DataFrame) -> DataFrame:
     """Stock by week, warehouse and item with the number of snapshots behind it."""
-    stock = inventory.selectExpr(
-        "inv_date_sk", "inv_warehouse_sk AS warehouse_sk", "inv_item_sk AS item_sk", "inv_quantity_on_hand"
-    )
-    return (
-        dated(stock, calendar, "inv_date_sk", [_WEEK_NUMBER])
-        .groupBy(*_STOCK_KEY)
-        .agg(F.sum("inv_quantity_on_hand").alias("on_hand"), F.count(F.lit(1)).alias("snapshots"))
+    return keyed_stock.groupBy(*STOCK_KEY).agg(
+        F.sum("inv_quantity_on_hand").alias("on_hand"), F.count(F.lit(1)).alias("snapshots")
     )
 
 
@@ -153,7 +157,16 @@ def weekly_sales_inventory(
         calendar: ``week_calendar``; exactly one row per day, as the counts of days rely on it.
         pre_aggregate: leave the factors out, giving true weekly totals.
     """
-    joined = _sales_by_week(lines, calendar).join(_stock_by_week(inventory, calendar), _STOCK_KEY)
+    return weekly_fact(lines_by_week_key(lines, calendar), stock_by_week_key(inventory, calendar), pre_aggregate)
+
+
+def weekly_fact(keyed_lines: DataFrame, keyed_stock: DataFrame, pre_aggregate: bool = False) -> DataFrame:
+    """``weekly_sales_inventory`` from ``lines_by_week_key`` and ``stock_by_week_key``.
+
+    Both may be tables that are stored by that key (``sinks.write_bucketed``): then
+    neither the sums nor the join move a row.
+    """
+    joined = _sales_by_week(keyed_lines).join(_stock_by_week(keyed_stock), STOCK_KEY)
     per_snapshot, per_sale_day = ("1", "1") if pre_aggregate else ("snapshots", "sale_days")
     totals = joined.selectExpr(
         "CAST(week AS STRING) AS yr_wk_num",

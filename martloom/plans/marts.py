@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +13,7 @@ from martloom.plans.shared import shared
 from martloom.plans.sizing import joined_days
 from martloom.sinks import write_mart
 from martloom.sources.readers import read_mart
+from martloom.versions import read_version, write_version
 
 # Raw tables each job reads.
 SALES_INPUTS = (
@@ -50,18 +51,28 @@ _CUSTOMER_TABLES = (
 )
 
 
+def _storage(versioned: bool) -> tuple[Callable[..., object], Callable[..., DataFrame]]:
+    """How mart tables are written, and read back."""
+    return (write_version, read_version) if versioned else (write_mart, read_mart)
+
+
 def build_sales_mart(
     raw: Mapping[str, DataFrame],
     base: str,
     week_rule: str = "shifted_iso",
     pre_aggregate: bool = False,
     match_week_start: bool = False,
+    versioned: bool = False,
 ) -> None:
     """Write the six sales tables under ``base``.
 
     The weekly fact feeds both its own table and the returns fact, so it is
     computed once. Sorting happens only on the way out.
+
+    Args:
+        versioned: write new versions of the tables instead of replacing them.
     """
+    write_mart, read_mart = _storage(versioned)
     days = week_calendar(raw["date_dim"], week_rule)
     write_mart(days, base, "dim_date")
     write_mart(dimensions.dim_item(raw["item"]), base, "dim_item_sales")
@@ -100,6 +111,7 @@ def build_marketing_mart(
     churn_days: int = 300,
     partition_daily_by_year: bool = False,
     order_key: Sequence[str] = ("order_number",),
+    versioned: bool = False,
 ) -> None:
     """Write the three marketing tables under ``base``.
 
@@ -110,7 +122,9 @@ def build_marketing_mart(
         order_key: columns that tell orders apart.
         partition_daily_by_year: lay the daily fact out by ``sold_yr_num`` so that
             readers of a year skip the others.
+        versioned: write new versions of the tables instead of replacing them.
     """
+    write_mart, _ = _storage(versioned)
     with shared(week_calendar(raw["date_dim"]), "calendar") as days:
         calendar = joined_days(days)
         valid = sales.incremental_sales(raw["catalog_sales"], raw["web_sales"], raw["store_sales"])
@@ -125,7 +139,7 @@ def build_marketing_mart(
                 sales.sales_with_date(lines, calendar), order_key=order_key
             )
             with shared(per_customer, "customer_activity") as activity:
-                _write_customer_reports(raw, base, activity, limits, churn_days)
+                _write_customer_reports(raw, base, activity, limits, churn_days, write_mart)
 
 
 def _write_customer_reports(
@@ -134,6 +148,7 @@ def _write_customer_reports(
     activity: DataFrame,
     limits: SegmentThresholds,
     churn_days: int,
+    write_mart: Callable[..., object],
 ) -> None:
     latest = customers.latest_sale(activity)
     churn = customers.churn_by_cohort(activity, latest, churn_days)

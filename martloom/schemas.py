@@ -335,6 +335,25 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     for table, layout in _LAYOUTS.items()
 }
 
+# The columns that tell the rows of each raw table apart. None of them may be null.
+ROW_KEYS = {
+    "catalog_returns": ("cr_item_sk", "cr_order_number"),
+    "catalog_sales": ("cs_item_sk", "cs_order_number"),
+    "customer": ("c_customer_sk",),
+    "customer_address": ("ca_address_sk",),
+    "customer_demographics": ("cd_demo_sk",),
+    "date_dim": ("d_date_sk",),
+    "household_demographics": ("hd_demo_sk",),
+    "income_band": ("ib_income_band_sk",),
+    "inventory": ("inv_date_sk", "inv_item_sk", "inv_warehouse_sk"),
+    "item": ("i_item_sk",),
+    "store_returns": ("sr_item_sk", "sr_ticket_number"),
+    "store_sales": ("ss_item_sk", "ss_ticket_number"),
+    "warehouse": ("w_warehouse_sk",),
+    "web_returns": ("wr_item_sk", "wr_order_number"),
+    "web_sales": ("ws_item_sk", "ws_order_number"),
+}
+
 SALES_MART = (
     "dim_customer_sales",
     "dim_date",

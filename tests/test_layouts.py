@@ -1,0 +1,96 @@
+"""Tables stored so that later work moves or reads less: by the join's key, along a curve."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.functions.curves import curve_key, interleaved, range_limits
+from martloom.operators import sales
+from martloom.operators.calendar import week_calendar
+from martloom.plans.shared import materialize
+from martloom.sinks import write_bucketed, write_clustered, write_mart
+from martloom.sources.readers import read_mart
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def sides(spark, tables):
+    days = materialize(week_calendar(tables.date_dim), "layout_days")
+    lines = sales.combined_daily_sales(tables.catalog_sales, tables.web_sales)
+    return sales.lines_by_week_key(lines, days), sales.stock_by_week_key(tables.inventory, days)
+
+
+@pytest.fixture
+def bucketed(spark, sides, tmp_path):
+    names = ("layout_lines", "layout_stock")
+    for name, side in zip(names, sides, strict=True):
+        write_bucketed(side, name, sales.STOCK_KEY, 4, str(tmp_path / name))
+    yield [spark.table(name) for name in names]
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_no_row_moves_below_the_join_of_bucketed_sides(spark, sides, bucketed, rows):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = sales.weekly_fact(*bucketed)
+        assert "Exchange" not in plan(fact) and "SortMergeJoin" in plan(fact)
+        # Sums may be taken in one step, as a key's rows are already together.
+        assert len(re.findall("Exchange", plan(sales.weekly_fact(*sides)))) >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(fact) == rows(sales.weekly_fact(*sides))
+
+
+def test_bucketed_tables_are_replaced(spark, bucketed, sides, tmp_path):
+    write_bucketed(sides[0].limit(5), "layout_lines", sales.STOCK_KEY, 4, str(tmp_path / "layout_lines"))
+    assert spark.table("layout_lines").count() == 5
+
+
+def test_bits_are_interleaved(spark):
+    numbers = [(a, b) for a in range(8) for b in range(8)]
+    frame = spark.createDataFrame(numbers, "a int, b int")
+    found = {(r.a, r.b): r.k for r in frame.select("*", interleaved([F.col("a"), F.col("b")], 3).alias("k")).collect()}
+    for (a, b), k in found.items():
+        assert k == sum((a >> i & 1) << 2 * i | (b >> i & 1) << 2 * i + 1 for i in range(3))
+    assert len(set(found.values())) == 64
+    with pytest.raises(ValueError):
+        interleaved([F.col("a")] * 11, 6)
+
+
+def test_ranges_are_evenly_filled(spark):
+    skewed = spark.range(6400).select(F.when(F.col("id") < 3200, 7).otherwise(F.col("id") * F.col("id")).alias("v"), F.lit(None).cast("int").alias("none"))
+    by = {"v": F.col("v"), "none": F.col("none")}
+    limits = range_limits(skewed, by)
+    assert limits["none"] == [] and 30 <= len(limits["v"]) <= 34
+    parts = skewed.select(curve_key(skewed, by).alias("k")).groupBy("k").count().collect()
+    assert sum(r["count"] for r in parts) == 6400
+    assert sorted(r["count"] for r in parts)[-2] <= 210  # all but the popular value
+    assert skewed.limit(0).select(curve_key(skewed.limit(0), by)).count() == 0
+
+
+def files_with(frame, condition):
+    """Files whose smallest and largest item leave room for a match; and all files."""
+    ranges = frame.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("item_sk").alias("low"), F.max("item_sk").alias("high"))
+    return ranges.where(condition).count(), ranges.count()
+
+
+def test_a_filter_on_item_reads_fewer_files(spark, sides, tmp_path, rows):
+    fact = materialize(sales.weekly_fact(*sides), "layout_fact")
+    base, item = str(tmp_path), fact.agg(F.percentile("item_sk", 0.5).cast("long")).first()[0]
+    by = {"week": F.col("yr_wk_num").cast("int"), "item": F.col("item_sk")}
+    write_mart(fact.repartitionByRange(16, "yr_wk_num", "warehouse_sk", "item_sk").sortWithinPartitions("yr_wk_num"), base, "sorted")
+    write_clustered(fact, base, "clustered", by, files=16)
+    in_range = (F.col("low") <= item) & (F.col("high") >= item)
+    before, all_before = files_with(read_mart(spark, base, "sorted"), in_range)
+    after, all_after = files_with(read_mart(spark, base, "clustered"), in_range)
+    assert all_before == all_after == 16
+    assert before == 16 and after <= 8
+    assert read_mart(spark, base, "clustered").where(F.col("item_sk") == item).count() == fact.where(F.col("item_sk") == item).count()
+    assert read_mart(spark, base, "clustered").columns == fact.columns
+    assert read_mart(spark, base, "clustered").count() == fact.count()
