@@ -139,7 +139,7 @@ def brute_force(rows, k=20):
 def test_equal_scores_of_different_vectors_go_to_the_smaller_id(spark):
     """600 vectors whose products with the queries are whole numbers, most of them equal."""
     rng = np.random.default_rng(6)
-    rows = [(i, [1.0, *rng.integers(-3, 4, 7).astype(float), float(i)]) for i in range(600)]
+    rows = [(i, [1.0, *rng.integers(-3, 4, 7).astype(float).tolist(), float(i)]) for i in range(600)]
     rows = [(i, [*v[:-1], 0.0] if i % 20 == 0 else v) for i, v in rows]
     rows = [(i, [v[0], *([0.0] * 7), v[8]] if i % 60 == 0 else v) for i, v in rows]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
