@@ -67,6 +67,15 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
     return store[name]
 
 
+def forget() -> None:
+    """Drop what other operators' tasks have kept in this Python worker, which the next operator's tasks use again."""
+    store = sys.modules.get("_martloom_kept")
+    if store is not None:
+        for name in [n for n in store.__dict__ if not n.startswith("__")]:
+            del store.__dict__[name]
+    pa.default_memory_pool().release_unused()
+
+
 def extended(schema: T.StructType, fields: str) -> T.StructType:
     """A new schema: the fields of ``schema``, then those of a DDL text."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(fields).fields])

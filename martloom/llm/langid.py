@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE_BYTES, extended, slices
+from martloom.llm.common import SLICE_BYTES, extended, forget, slices
 
 ORDERS = (1, 2, 3, 4)
 BINS = 1 << 16
@@ -87,6 +87,7 @@ def train(
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text", SLICE_BYTES):
             bits = []
             for text in batch.column("text").to_pylist():
@@ -144,6 +145,7 @@ def classify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
+        forget()
         letter = regex.compile(r"\p{L}").search
         matrix = np.zeros((ROWS_PER_PRODUCT, BINS), dtype=np.float32)
         for batch in slices(batches, "__text"):
