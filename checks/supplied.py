@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martloom.functions.spread import dealt, tasks_for, wanted_tasks
 from martloom.schemas import RAW_SCHEMAS, is_key
 
 
@@ -71,10 +72,9 @@ class SuppliedTables:
         return df.selectExpr(*selected)
 
     @cached_property
-    def _lines(self) -> DataFrame:
-        """Line items with exact price and calendar day; those of odd orders have a second line of one piece."""
+    def _items(self) -> DataFrame:
+        """Line items with exact price and calendar day."""
         return self.table("lineitem").selectExpr(
-            "explode(sequence(0, CAST(l_orderkey % 2 AS INT))) AS copy",
             "l_orderkey",
             "l_partkey",
             "l_suppkey",
@@ -86,6 +86,20 @@ class SuppliedTables:
             "CAST(l_shipdate AS DATE) AS d",
         )
 
+    @staticmethod
+    def _copied(items: DataFrame) -> DataFrame:
+        """Lines of items: those of odd orders have a second line of one piece."""
+        return items.selectExpr("*", "explode(sequence(0, CAST(l_orderkey % 2 AS INT))) AS copy")
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self._copied(self._items)
+
+    def _met(self, items: DataFrame, other: DataFrame, key: str) -> DataFrame:
+        """Items with their row of ``other``; two large tables meet in as many tasks as the items' files ask for."""
+        tasks = wanted_tasks(self.table("lineitem")) if tasks_for(other) > 1 else None
+        return dealt(items, [key], tasks).join(dealt(other, [key], tasks), key)
+
     @cached_property
     def _prices(self) -> DataFrame:
         return self.table("part").selectExpr(
@@ -94,11 +108,8 @@ class SuppliedTables:
 
     def _sales(self, name: str, prefix: str, remainder: int) -> DataFrame:
         orders = self.table("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
-        lines = (
-            self._lines.where(f"l_linenumber % 3 = {remainder}")
-            .join(orders, "l_orderkey")
-            .join(self._prices, "l_partkey")
-        )
+        items = self._items.where(f"l_linenumber % 3 = {remainder}")
+        lines = self._copied(self._met(self._met(items, orders, "l_orderkey"), self._prices, "l_partkey"))
         store = prefix == "ss"
         columns = {
             "sold_date_sk": _null_if("l_orderkey % 61 = 0", _day_key("d")),
@@ -159,7 +170,7 @@ class SuppliedTables:
     @cached_property
     def inventory(self) -> DataFrame:
         sunday = "next_day(date_sub(d, 7), 'Sunday') AS w"
-        weeks = self._lines.selectExpr("l_partkey AS p", "l_suppkey AS s", sunday).distinct()
+        weeks = self._items.selectExpr("l_partkey AS p", "l_suppkey AS s", sunday).distinct()
         weeks = weeks.selectExpr("*", "explode(IF((p + s) % 2 = 0, array(4, 2), array(4))) AS weekday")
         mix = "(p * 7 + s * 13)"
         on_hand = _null_if(f"{mix} % 17 = 0", f"({mix} + {_day_key('w')} + weekday) % 60")
@@ -173,7 +184,7 @@ class SuppliedTables:
 
     @cached_property
     def date_dim(self) -> DataFrame:
-        last = self._lines.selectExpr("max(d) AS last")
+        last = self._items.selectExpr("max(d) AS last")
         days = last.selectExpr("explode(sequence(DATE'1995-01-01', last)) AS day").where(f"{_day_key('day')} % 97 <> 0")
         columns = {
             "date_sk": _day_key("day"),

@@ -72,6 +72,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         data.close()
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file."""
+    system, target = _opened(spark, path)
+    return system.getFileStatus(target).getLen()
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """Seconds since 1970 at which a file or folder was last changed."""
     system, target = _opened(spark, path)
