@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import ratios
+from martloom.functions.spread import dealt, wanted_tasks
 from martloom.operators.calendar import dated
 
 
@@ -234,7 +235,9 @@ def fact_sales_daily(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sales by customer, item, promotion, channel and day.
 
     The day's attributes depend on its key alone, so they are looked up on the
-    aggregated rows and never travel through the shuffle.
+    aggregated rows and never travel through the shuffle. There are about as many
+    sums as lines, so the lines of a large table are dealt over more tasks than the
+    session's shuffles have, before they are summed.
 
     Args:
         sales: ``incremental_sales``.
@@ -242,7 +245,7 @@ def fact_sales_daily(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """
     measures = (*_MEASURES, "daily_cogs")
     key = ["customer_sk", "item_sk", "promo_sk", "channel_key", "sold_date_sk"]
-    daily = sales.groupBy(*key).agg(
+    daily = dealt(sales, key, wanted_tasks(sales)).groupBy(*key).agg(
         *[F.sum(m).alias(m) for m in measures],
         F.count("order_number").alias("daily_orders"),
     )

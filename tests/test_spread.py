@@ -4,9 +4,10 @@ import re
 
 import pytest
 
-from checks.queries import queries
+from checks.queries import Frames, queries
 from martloom.functions import spread
 from martloom.functions.spread import dealt, tasks_for, wanted_tasks
+from martloom.operators import sales
 from tests.conftest import SMALL
 
 
@@ -49,3 +50,14 @@ def test_large_tables_meet_in_as_many_tasks_as_they_ask_for(spark, small_tasks,
     assert len(found) >= 6 and min(found) > 8
     monkeypatch.undo()
     assert same(query, queries()[name](spark, SMALL))
+
+
+@pytest.mark.parametrize("name", ["fact_sales_daily", "published_sql", "published_version"])
+def test_a_large_daily_fact_is_summed_in_as_many_tasks_as_it_asks_for(spark, small_tasks, monkeypatch, name):
+    frames = Frames(spark, SMALL)
+    fact = sales.fact_sales_daily(frames.incremental_sales, frames.calendar)
+    (tasks,) = {int(n) for keys, n in shuffles(fact) if keys.startswith("customer_sk")}
+    assert tasks > 8
+    query = queries()[name](spark, SMALL)
+    monkeypatch.undo()
+    assert same(query, queries()[name](spark, SMALL))
