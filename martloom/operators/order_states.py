@@ -14,10 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.spread import dealt, wanted_tasks
+
 DAY = "sold_date_sk"
 # From so many orders of a bucket on, which has 32,768 numbers, their set is kept as 4,096 bytes of bits.
 DENSE = 1024
 _KEY = [DAY, "customer_sk", "bucket"]
+# Numbers of a bucket.
+_NUMBERS = 32_768
 _SUMS = ("sales_amt", "profit_amt", "sales_lines", "profit_lines")
 
 
@@ -26,20 +30,23 @@ def order_states(sales: DataFrame, dense_from: int = DENSE) -> DataFrame:
 
     Columns ``sold_date_sk, customer_sk, bucket, sold_date, sales_amt, profit_amt, sales_lines,
     profit_lines, places, bitmap``. Lines without an order number are in the bucket null, those
-    without a day have states of their own. Lines of an order are summed first, so a customer
-    with many lines is spread over tasks; ``places`` has less than 32,768 entries.
+    without a day have states of their own. Lines move once, by day, customer and bucket, so a customer
+    with many lines is spread over tasks; lines of an order are summed first, and ``places`` has at
+    most 32,768 entries.
     """
-    per_order = sales.groupBy(DAY, "customer_sk", "order_number").agg(
+    number = F.col("order_number").cast("long")
+    keyed = sales.withColumn("bucket", F.bitmap_bucket_number(number))
+    tasks = wanted_tasks(sales)
+    met = dealt(keyed, _KEY, tasks) if tasks else keyed.repartition(*_KEY)
+    per_order = met.groupBy(*_KEY, "order_number").agg(
         F.min("sold_date").alias("sold_date"),
         F.sum("daily_sales_amt").alias("sales_amt"),
         F.sum("daily_net_profit").alias("profit_amt"),
         F.count("daily_sales_amt").alias("sales_lines"),
         F.count("daily_net_profit").alias("profit_lines"),
     )
-    number = F.col("order_number").cast("long")
     states = (
-        per_order.withColumn("bucket", F.bitmap_bucket_number(number))
-        .withColumn("place", F.bitmap_bit_position(number).cast("int"))
+        per_order.withColumn("place", F.bitmap_bit_position(number).cast("int"))
         .groupBy(*_KEY)
         .agg(
             F.min("sold_date").alias("sold_date"),
@@ -48,17 +55,24 @@ def order_states(sales: DataFrame, dense_from: int = DENSE) -> DataFrame:
         )
     )
     many = F.size("places") >= dense_from
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in _KEY]
-    bits = (
-        states.where(many)
-        .select(*_KEY, F.explode("places").alias("place"))
-        .groupBy(*_KEY)
-        .agg(F.bitmap_construct_agg("place").alias("bitmap"))
-    )
-    joined = states.alias("s").join(bits.alias("b"), same[0] & same[1] & same[2], "left")
-    kept = F.when(F.col("b.bitmap").isNull(), F.col("s.places")).otherwise(F.array().cast("array<int>"))
-    plain = [F.col(f"s.{c}") for c in (*_KEY, "sold_date", *_SUMS)]
-    return joined.select(*plain, kept.alias("places"), F.col("b.bitmap").alias("bitmap"))
+    kept = F.when(many, F.array().cast("array<int>")).otherwise(F.col("places"))
+    return states.select(*_KEY, "sold_date", *_SUMS, kept.alias("places"), F.when(many, _bits(F.col("places"))).alias("bitmap"))
+
+
+def _bits(places: Column) -> Column:
+    """Bitmap of different places, laid out as ``bitmap_construct_agg`` does: lowest bit of a byte first.
+
+    Places become text of zeros and ones, highest bit of a byte first, and that hexadecimal digits.
+    """
+    turned = F.array_sort(F.transform(places, lambda place: place.bitwiseXOR(F.lit(7))))
+    ends = F.concat(turned, F.array(F.lit(_NUMBERS)))
+    starts = F.concat(F.array(F.lit(-1)), turned)
+    gaps = F.zip_with(starts, ends, lambda start, end: F.repeat(F.lit("0"), end - start - 1))
+    # Four digits before each comma, so no replacement meets another's result.
+    digits = F.regexp_replace(F.array_join(gaps, "1"), "([01]{4})", "$1,")
+    for value in range(16):
+        digits = F.replace(digits, F.lit(f"{value:04b},"), F.lit(f"{value:X}"))
+    return F.unhex(digits)
 
 
 def _has(bitmap: Column, place: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.calendar import week_calendar
 from martloom.operators.customers import customer_activity
-from martloom.operators.order_states import distinct_orders, merged_activity, order_states
+from martloom.operators.order_states import _bits, distinct_orders, merged_activity, order_states
 from martloom.operators.sales import incremental_sales, sales_with_date
 from martloom.plans.refresh import dated_order_states, read_daily, refresh_daily
 from martloom.plans.shared import materialize
@@ -85,3 +85,16 @@ def test_refreshed_states(spark, tables, tmp_path):
         refresh_daily(state, days, base, "states", dated_order_states, partition_days=256)
         merged = merged_activity(read_daily(spark, base, "states"))
         assert as_dict(merged) == as_dict(customer_activity(sales_with_date(state, days)))
+
+
+def test_states_are_built_from_one_pass(lines):
+    """Bits come from the places of their row: sums, sets and bits take one reading and one shuffle, without a join."""
+    plan = order_states(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("places", [[0], [7, 8], [32767], list(range(0, 32768, 31)), list(range(32768))])
+def test_bits_lie_as_spark_lays_them(spark, places):
+    frame = spark.createDataFrame([(p,) for p in places], "place int")
+    made, found = frame.agg(_bits(F.array_sort(F.collect_list("place"))), F.bitmap_construct_agg("place")).first()
+    assert made == found
