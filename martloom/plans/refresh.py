@@ -56,8 +56,10 @@ def _nulls(columns: tuple[str, ...]) -> Column:
     return sum(bits[1:], bits[0])
 
 
-def _wide(column: Column) -> Column:
-    return column.cast("decimal(20,0)")
+def _exact_sum(column: str) -> Column:
+    """Sum of 64-bit numbers whose upper and lower halves are summed as longs: exact up to 2 ** 31 lines a day."""
+    upper, lower = F.sum(F.shiftright(column, 32)), F.sum(F.col(column).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (upper.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + lower.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def day_digests(lines: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -69,13 +71,13 @@ def day_digests(lines: DataFrame, calendar: DataFrame) -> DataFrame:
     nulls = _nulls(LINE_COLUMNS)
     hashes = lines.select(
         DAY,
-        _wide(F.xxhash64(*LINE_COLUMNS, nulls)).alias("h1"),
-        _wide(F.xxhash64(F.lit("second"), *reversed(LINE_COLUMNS), nulls)).alias("h2"),
+        F.xxhash64(*LINE_COLUMNS, nulls).alias("h1"),
+        F.xxhash64(F.lit("second"), *reversed(LINE_COLUMNS), nulls).alias("h2"),
     )
     per_day = hashes.groupBy(DAY).agg(
         F.count(F.lit(1)).alias("lines"),
-        F.sum("h1").cast("decimal(38,0)").alias("sum_1"),
-        F.sum("h2").cast("decimal(38,0)").alias("sum_2"),
+        _exact_sum("h1").alias("sum_1"),
+        _exact_sum("h2").alias("sum_2"),
     )
     attributes = F.xxhash64(*_ATTRIBUTES, _nulls(_ATTRIBUTES)).alias("attributes")
     days = calendar.select(F.col("date_sk").alias(DAY), attributes)

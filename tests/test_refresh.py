@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import _earlier_lines
 from martloom.functions.ratios import decimals_to_double
 from martloom.operators.calendar import week_calendar
 from martloom.operators.sales import fact_sales_daily, incremental_sales
@@ -142,3 +143,38 @@ def test_digests_see_what_order_and_nulls_hide(spark, lines, days):
     assert changed(a, frame({}, {"customer_sk": 2})) == {7: "changed"}
     assert changed(frame({}), frame({"item_sk": 5, "promo_sk": None})) == {7: "changed"}
     assert changed(frame({"sold_date_sk": None}), frame({})) == {None: "removed", 7: "added"}
+
+
+def test_digests_sum_longs_to_the_same_numbers(lines, days):
+    """Halves of the hashes are summed, not decimals; the digests kept beside older tables still hold."""
+    digests = day_digests(lines, days)
+    plan = digests._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(" not in plan
+    nulls = refresh._nulls(refresh.LINE_COLUMNS)
+    wide = [
+        F.sum(h.cast("decimal(20,0)")).cast("decimal(38,0)").alias(name)
+        for name, h in (
+            ("sum_1", F.xxhash64(*refresh.LINE_COLUMNS, nulls)),
+            ("sum_2", F.xxhash64(F.lit("second"), *reversed(refresh.LINE_COLUMNS), nulls)),
+        )
+    ]
+    expected = lines.groupBy("sold_date_sk").agg(*wide)
+    found = digests.select(expected.columns)
+    assert found.dtypes == expected.dtypes
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
+def test_the_earlier_snapshot_is_read_once(spark, tables):
+    """The earlier state of the refresh queries, against its parts read one by one."""
+    lines = materialize(incremental_sales(tables.catalog_sales, tables.web_sales, tables.store_sales), "earlier_lines")
+    found = _earlier_lines(lines)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    second = "pmod(sold_date_sk, 1000) BETWEEN 250 AND 499"
+    kind = F.expr(f"IF({second}, sold_date_sk % 11, 0)")
+    added = "CAST(IF(" + second + " AND sold_date_sk % 11 = 5 AND item_sk % 3 = 0, daily_qty + 1, daily_qty) AS DECIMAL(10,0))"
+    there = lines.where(kind != 3).withColumn("daily_qty", F.expr(added))
+    gone = lines.where((kind == 7) & (F.col("item_sk") % 2 == 0))
+    moved = lines.where(kind == 9).withColumn("sold_date_sk", F.col("sold_date_sk") + 30_000)
+    expected = there.unionByName(gone).unionByName(moved)
+    assert found.dtypes == expected.dtypes
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
