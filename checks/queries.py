@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from checks.supplied import StoredTables, SuppliedTables
 from martloom.functions.labels import SegmentThresholds
 from martloom.functions.ratios import decimals_to_double
+from martloom.functions.spread import tasks_for
 from martloom.operators import calendar, customers, dimensions, returns, sales
 from martloom.operators.order_states import merged_activity
 from martloom.plans.extract import extract_snapshot
@@ -190,7 +191,8 @@ def _weekly_clustered(f: Frames) -> DataFrame:
     """The weekly fact written along a curve through week, item and warehouse, and read back."""
     base, name = shared_path(f.spark, "clustered"), "fact_sales_inv_weekly"
     by = {"week": F.col("yr_wk_num").cast("int"), "item": F.col("item_sk"), "warehouse": F.col("warehouse_sk")}
-    write_clustered(materialize(f.weekly(), "weekly"), base, name, by, files=8)
+    weekly = materialize(f.weekly(), "weekly")
+    write_clustered(weekly, base, name, by, files=max(8, tasks_for(weekly)))
     return readers.read_mart(f.spark, base, name)
 
 

@@ -36,9 +36,13 @@ def range_limits(df: DataFrame, by: Mapping[str, Column], bits: int = BITS) -> d
     return {name: sorted(set(found[name] or [])) for name in by}
 
 
-def _passed(limits: Column, number: Column) -> Column:
-    """How many of the limits a number reaches."""
-    return F.size(F.filter(limits, lambda limit: limit <= number))
+def _passed(limits: list[int], number: Column, before: int = 0) -> Column:
+    """How many ascending limits a number reaches, and ``before``, by halving; a null reaches none."""
+    if not limits:
+        return F.lit(before)
+    middle = len(limits) // 2
+    above = _passed(limits[middle + 1 :], number, before + middle + 1)
+    return F.when(number >= F.lit(limits[middle]).cast("long"), above).otherwise(_passed(limits[:middle], number, before))
 
 
 def curve_key(df: DataFrame, by: Mapping[str, Column], bits: int = BITS) -> Column:
@@ -46,7 +50,7 @@ def curve_key(df: DataFrame, by: Mapping[str, Column], bits: int = BITS) -> Colu
     ranks = []
     for name, limits in range_limits(df, by, bits).items():
         if limits:
-            ranks.append(_passed(F.array(*[F.lit(v).cast("long") for v in limits]), by[name].cast("long")))
+            ranks.append(_passed(limits, by[name].cast("long")))
         else:
             ranks.append(F.lit(0))
     return interleaved(ranks, bits)

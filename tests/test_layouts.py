@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.functions.curves import curve_key, interleaved, range_limits
+from martloom.functions.curves import _passed, curve_key, interleaved, range_limits
 from martloom.operators import sales
 from martloom.operators.calendar import week_calendar
 from martloom.plans.shared import materialize
@@ -94,3 +94,13 @@ def test_a_filter_on_item_reads_fewer_files(spark, sides, tmp_path, rows):
     assert read_mart(spark, base, "clustered").where(F.col("item_sk") == item).count() == fact.where(F.col("item_sk") == item).count()
     assert read_mart(spark, base, "clustered").columns == fact.columns
     assert read_mart(spark, base, "clustered").count() == fact.count()
+
+
+def test_ranks_by_halving(spark):
+    """A row is compared with a few limits, not with each of them; null reaches none."""
+    limits = sorted({i * i % 97 for i in range(63)})
+    numbers = [None, *range(-2, 100)]
+    ranked = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", _passed(limits, F.col("n")).alias("rank"))
+    assert "lambda" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r["rank"] == sum(r.n is not None and limit <= r.n for limit in limits) for r in ranked.collect())
+    assert spark.range(1).select(_passed([], F.col("id"))).first()[0] == 0
